@@ -6,7 +6,6 @@ base_value + sum of phi = model output of the row.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -15,12 +14,13 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import hash32
 from riskframe.operators import models, split
 from riskframe.operators.clean import require_columns
+from riskframe.operators.lineage import work_dir
 
 LEAVES_AT_ONCE = 64
 ROWS_AT_ONCE = 256
@@ -65,14 +65,12 @@ class LeafTable:
         return float((self.value * self.share.prod(axis=1)).sum())
 
 
-def leaf_table(model, work_dir: str | None = None) -> LeafTable:
+def leaf_table(model, folder: str | None = None) -> LeafTable:
     """Leaves of a Spark forest (probability of label 1) or boosted ensemble (margin).
 
     The node table comes from the saved model files, which every executor can read when
-    ``work_dir`` (default: the checkpoint folder) is shared.
+    ``folder`` (default: the checkpoint folder) is shared. Its size is that of the model.
     """
-    from pyspark.sql import SparkSession
-
     spark = SparkSession.active()
     if isinstance(model, RandomForestClassificationModel):
         forest = True
@@ -80,8 +78,7 @@ def leaf_table(model, work_dir: str | None = None) -> LeafTable:
         forest = False
     else:
         raise ValueError(f"No tree attribution for {type(model).__name__}")
-    root = work_dir or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="riskframe-model-")
-    path = f"{root}/tree-model-{uuid.uuid4().hex}"
+    path = f"{folder or work_dir(spark)}/tree-model-{uuid.uuid4().hex}"
     model.write().save(path)
     nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").toPandas()
     weights = list(model.treeWeights)
@@ -156,12 +153,12 @@ def _classifier(model: PipelineModel):
 
 
 def tree_phi(
-    model: PipelineModel, df: DataFrame, key: Sequence[str], features: Sequence[str], work_dir: str | None = None
+    model: PipelineModel, df: DataFrame, key: Sequence[str], features: Sequence[str], folder: str | None = None
 ) -> DataFrame:
     """Tree attributions of every row; the leaf table, as large as the model, goes to the tasks."""
     require_columns(df, [*key, *features])
     features = list(features)
-    leaves = leaf_table(_classifier(model), work_dir)
+    leaves = leaf_table(_classifier(model), folder)
     shared = df.sparkSession.sparkContext.broadcast(leaves)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import contains_any
@@ -32,8 +32,6 @@ RANK_GAP = 3
 
 def importance(model: PipelineModel, features: Sequence[str], method: str = "auto") -> DataFrame:
     """(feature, importance), greatest first: tree importances or absolute coefficients."""
-    from pyspark.sql import SparkSession
-
     last = model.stages[-1]
     trees, linear = hasattr(last, "featureImportances"), hasattr(last, "coefficients")
     if method not in ("auto", "builtin", "coefficients"):

@@ -1,20 +1,24 @@
-"""Cutting the lineage of a table that several later steps read."""
+"""Cutting the lineage of a table that several later steps read, and the folder for it."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder of ``spark.checkpoint.dir``.
+def work_dir(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``.
 
-    The files outlive lost executors. Only a session without that setting (tests, one
-    machine) gets a temporary folder.
+    Only a session without that setting (tests, one machine) gets a temporary folder.
     """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return shared or tempfile.mkdtemp(prefix="riskframe-")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: its files outlive lost executors."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="riskframe-checkpoint-"))
+        sc.setCheckpointDir(work_dir(df.sparkSession))
     return df.checkpoint(eager=True)
