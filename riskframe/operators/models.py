@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import metrics as M
 from riskframe.operators.clean import require_columns
+from riskframe.operators.lineage import cut
 from riskframe.operators.split import class_counts
 
 WEIGHT = "weight__"
@@ -56,14 +57,18 @@ def spark_params(kind: str, params: dict) -> dict:
     return out
 
 
-def class_weight_column(df: DataFrame, label: str, class_weight: str | dict | None, kind: str):
-    """Weight expression: balanced n / (classes * n_c), or n0/n1 on positives for boosters; None for no weights."""
+def class_weights(df: DataFrame, label: str, class_weight: str | dict | None, kind: str):
+    """(weight expression or None, sum of the weights).
+
+    Balanced means n / (classes * n_c), or n0/n1 on positives for boosters. The sum follows
+    from the class counts, without another pass.
+    """
+    counts = class_counts(df, label)
     if class_weight is None:
-        return None
+        return None, float(sum(counts.values()))
     if isinstance(class_weight, dict):
         weights = class_weight
     elif class_weight == "balanced":
-        counts = class_counts(df, label)
         if kind in ("logistic_regression", "random_forest"):
             n = sum(counts.values())
             weights = {c: n / (len(counts) * m) for c, m in counts.items()}
@@ -75,7 +80,7 @@ def class_weight_column(df: DataFrame, label: str, class_weight: str | dict | No
     out = F.lit(1.0)
     for c, w in weights.items():
         out = F.when(F.col(label) == c, F.lit(float(w))).otherwise(out)
-    return out
+    return out, float(sum(weights.get(c, 1.0) * n for c, n in counts.items()))
 
 
 def estimator(kind: str, label: str, seed: int, params: dict, total_weight: float | None = None, weighted=True):
@@ -107,13 +112,10 @@ def train(
     if params.get("solver", "lbfgs") not in SOLVERS:
         raise ValueError(f"Invalid solver: {params['solver']}. Must be one of {list(SOLVERS)}")
     spark_params(kind, params)  # reject bad input before any job
-    weight = class_weight_column(df, label, class_weight, kind)
+    weight, total = class_weights(df, label, class_weight, kind)
     data = df.select(*features, label).dropna(subset=[label])
-    total = None
     if weight is not None:
         data = data.withColumn(WEIGHT, weight)
-    if kind == "logistic_regression":
-        total = data.agg(F.sum(F.col(WEIGHT) if weight is not None else F.lit(1.0))).first()[0]
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     model = estimator(kind, label, seed, params, total, weight is not None)
     return Pipeline(stages=[assembler, model]).fit(data)
@@ -147,7 +149,7 @@ def train_and_evaluate(
     """Fit on train, score train and test in one table, evaluate both."""
     model = train(train_df, kind, features, label, class_weight, seed, **params)
     both = train_df.withColumn("split", F.lit("train")).unionByName(test_df.withColumn("split", F.lit("test")))
-    scored = predict(model, both)
+    scored = cut(predict(model, both))  # the metrics read it more than once
     return TrainedModel(model, M.evaluate(scored, label, by=["split"]), scored)
 
 

@@ -8,6 +8,7 @@ not depend on where the cell borders lie.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -21,6 +22,10 @@ HOT_GROUP_ROWS = 2_000_000
 # hash32 cells: 2^16 of them, so a class of 10^12 rows has about 1.5 * 10^7 per cell.
 HASH_CELL_SHIFT = 65536
 MAX_CELLS = 512
+# Part of the rows that is sketched to place cell borders.
+BORDER_SAMPLE = 0.05
+# Labels with more classes than this are no labels.
+MAX_CLASSES = 1000
 
 
 def cell_count(df: DataFrame) -> int:
@@ -46,14 +51,19 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = HOT_GROUP_ROWS)
 def value_cells(df: DataFrame, cols: Sequence[str], cells: int | None = None) -> DataFrame:
     """Add ``<col>__cell`` for each numeric column: its range cell by sampled quantiles.
 
-    Equal values always share a cell, and cells follow the order of the values.
-    One approximate-quantile pass finds the borders of all columns.
+    Equal values always share a cell, and cells follow the order of the values. The borders
+    of all columns come from one sketch over a sample; they settle how even the cells are,
+    never what a query returns. Every row gets a cell.
     """
     n = cells or cell_count(df)
-    probs = [i / n for i in range(1, n)]
-    typed = df.select([F.col(c).cast("double").alias(c) for c in cols])
-    borders = typed.approxQuantile(list(cols), probs, 0.5 / n)
-    splits = [[-float("inf"), *sorted(set(b) - {float("inf"), -float("inf")}), float("inf")] for b in borders]
+    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
+    drawn = df.sample(BORDER_SAMPLE, seed=0).agg(
+        *[F.percentile_approx(F.col(c).cast("double"), probs, 10 * n).alias(c) for c in cols]
+    )
+    splits = []
+    for row in drawn.first():
+        borders = {b for b in row or [] if math.isfinite(b)} or {0.0}
+        splits.append([-math.inf, *sorted(borders), math.inf])
     copies = {f"{c}__num": F.col(c).cast("double") for c in cols}
     return (
         Bucketizer(
@@ -109,14 +119,16 @@ def value_counts_long(
     pairs = [
         F.struct(
             F.lit(c).alias("column_name"),
-            F.col(f"{c}__cell").alias("cell"),
+            F.col(f"{c}__cell").cast("int").alias("cell"),
             F.col(c).cast("double").alias("value"),
         )
         for c in cols
     ]
+    # both conditions say the same; naming both keeps the plans of all readers alike, so Spark
+    # computes the counts once and reuses the exchange
     long = with_cells.select(*by, *sums, F.explode(F.array(*pairs)).alias("p")).select(*by, *sums, "p.*")
     return (
-        long.where(F.col("value").isNotNull())
+        long.where(F.col("value").isNotNull() & F.col("cell").isNotNull())
         .groupBy(*by, "column_name", "cell", "value")
         .agg(F.count(F.lit(1)).alias("n"), *[F.sum(s).alias(s) for s in sums])
     )
@@ -212,46 +224,56 @@ def mark_smallest(
 ) -> DataFrame:
     """Flag, per class, exactly the ``take[class]`` rows with the smallest (hash32(keys), keys).
 
-    ``take`` maps a few classes (checked) to row counts. Cell counts give the cell where
-    the cut falls, only that cell is ranked, and the cut itself is broadcast (one row per
-    class), so the flagging pass over the whole table is a plain projection.
+    ``take`` maps a few classes (checked) to row counts. Counts per hash cell give the cell
+    where each cut falls, and only the rows of that cell are ranked. The cuts, one row per
+    class, become literals: the flag is then a plain projection without join or shuffle.
     """
-    if len(take) > 1000:
-        raise ValueError(f"mark_smallest serves up to 1000 classes, got {len(take)}")
+    if len(take) > MAX_CLASSES:
+        raise ValueError(f"mark_smallest serves up to {MAX_CLASSES} classes, got {len(take)}")
     grp = F.lit(0) if by is None else F.col(by)
-    want = F.lit(0).cast("bigint")
-    for value, k in take.items():
-        cond = F.lit(True) if by is None else grp == F.lit(value)
-        want = F.when(cond, F.lit(int(k))).otherwise(want)
+    classes = {i: (F.lit(True) if by is None else grp == F.lit(v)) for i, v in enumerate(take)}
+    number, want = F.lit(None).cast("int"), F.lit(0).cast("bigint")
+    for i, k in enumerate(take.values()):
+        number = F.when(classes[i], F.lit(i)).otherwise(number)
+        want = F.when(classes[i], F.lit(int(k))).otherwise(want)
     h = hash32(keys, seed)
+    cell = F.floor(h / HASH_CELL_SHIFT)
     cells = (
-        df.select(grp.alias("g__"), F.floor(h / HASH_CELL_SHIFT).alias("cell__"), want.alias("k__"))
-        .where(F.col("g__").isNotNull())
-        .groupBy("g__", "k__", "cell__")
+        df.select(number.alias("g"), want.alias("k"), cell.alias("cell"))
+        .where(F.col("g").isNotNull())
+        .groupBy("g", "k", "cell")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    w = Window.partitionBy("g__").orderBy("cell__")
-    edge = (
-        cells.withColumn("end", F.sum("n").over(w))
-        .where((F.col("end") - F.col("n") < F.col("k__")) & (F.col("k__") <= F.col("end")))
-        .select("g__", "cell__", (F.col("k__") - F.col("end") + F.col("n")).alias("need"))
-    )
-    full = cells.groupBy("g__").agg((F.sum("n") <= F.max("k__")).alias("all__"))
-    at_edge = df.select(
-        grp.alias("g__"), F.floor(h / HASH_CELL_SHIFT).alias("cell__"), F.struct(h.alias("h"), *keys).alias("spot")
-    ).join(F.broadcast(edge), ["g__", "cell__"])
-    ranked = at_edge.withColumn("rn", F.row_number().over(Window.partitionBy("g__").orderBy("spot")))
-    cut = ranked.where(F.col("rn") == F.col("need")).select("g__", F.col("spot").alias("cut__"))
-    cuts = full.join(cut, "g__", "left")
-    return (
-        df.withColumn("g__", grp)
-        .join(F.broadcast(cuts), "g__", "left")
-        .withColumn(
-            name,
-            F.coalesce(F.col("all__") | (F.struct(h.alias("h"), *keys) <= F.col("cut__")), F.lit(False)),
+    upto = F.sum("n").over(Window.partitionBy("g").orderBy("cell"))
+    total = F.sum("n").over(Window.partitionBy("g"))
+    edges = (
+        cells.withColumns({"end": upto, "total": total})
+        .where(
+            ((F.col("end") - F.col("n") < F.col("k")) & (F.col("k") < F.col("end")))
+            | ((F.col("end") == F.col("total")) & (F.col("k") >= F.col("total")))
+            | (F.col("end") == F.col("k"))
         )
-        .drop("g__", "all__", "cut__")
+        .select("g", "cell", (F.col("k") - F.col("end") + F.col("n")).alias("need"), (F.col("k") >= F.col("end")).alias("whole"))
+        .collect()
     )
+    # a cut at the end of a cell takes all cells up to it; a cut inside needs the ranked cell
+    flags = {r["g"]: cell <= r["cell"] for r in edges if r["whole"]}
+    inside = [r for r in edges if not r["whole"]]
+    if inside:
+        need, at_edge = F.lit(0), F.lit(False)
+        for r in inside:
+            here = classes[r["g"]] & (cell == r["cell"])
+            need, at_edge = F.when(here, F.lit(r["need"])).otherwise(need), at_edge | here
+        spots = df.where(at_edge).select(number.alias("g"), need.alias("need"), h.alias("h"), *keys)
+        rank = F.row_number().over(Window.partitionBy("g").orderBy("h", *keys))
+        types = {k: df.schema[k].dataType for k in keys}
+        for r in spots.withColumn("rank", rank).where("rank = need").collect():
+            cut = F.struct(F.lit(r["h"]).cast("bigint").alias("h"), *[F.lit(r[k]).cast(types[k]).alias(k) for k in keys])
+            flags[r["g"]] = F.struct(h.alias("h"), *keys) <= cut
+    flag = F.lit(False)
+    for i, test in flags.items():
+        flag = F.when(classes[i], test).otherwise(flag)
+    return df.withColumn(name, F.coalesce(flag, F.lit(False)))
 
 
 def carry_fill(
@@ -259,39 +281,32 @@ def carry_fill(
 ) -> DataFrame:
     """Forward fill, then backward fill of what is left, along ``order_by`` (a unique numeric key).
 
-    Inside a cell a window finds the last non-null value; between cells the last (first)
-    non-null value per cell is carried over the cell list.
+    Inside a cell a running window finds the last non-null value; between cells the last
+    non-null value per cell is carried over the cell list. What forward filling leaves is
+    the head of a group, and its backward fill is the first non-null value of the group,
+    which the cell list gives as well.
     """
     cells = value_cells(df, [order_by]).withColumnRenamed(f"{order_by}__cell", "cell__")
-    inside = Window.partitionBy(*by, "cell__").orderBy(order_by)
-    fwd = inside.rowsBetween(Window.unboundedPreceding, 0)
-    bwd = inside.rowsBetween(0, Window.unboundedFollowing)
+    running = Window.partitionBy(*by, "cell__").orderBy(order_by).rowsBetween(Window.unboundedPreceding, 0)
+    known = {c: F.when(F.col(c).isNotNull(), F.struct(order_by, c)) for c in cols}
     per_cell = cells.groupBy(*by, "cell__").agg(
-        *[F.max(F.when(F.col(c).isNotNull(), F.struct(order_by, c)))[c].alias(f"{c}__last") for c in cols],
-        *[F.min(F.when(F.col(c).isNotNull(), F.struct(order_by, c)))[c].alias(f"{c}__first") for c in cols],
+        *[F.max(k)[c].alias(f"{c}__last") for c, k in known.items()],
+        *[F.min(k)[c].alias(f"{c}__first") for c, k in known.items()],
     )
     over = Window.partitionBy(*by).orderBy("cell__")
     before = over.rowsBetween(Window.unboundedPreceding, -1)
-    after = over.rowsBetween(1, Window.unboundedFollowing)
+    whole = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    keys = [*by, "cell__"]
     carried = per_cell.select(
-        *by,
-        "cell__",
+        *[F.col(k).alias(f"{k}__k") for k in keys],
         *[F.last(f"{c}__last", ignorenulls=True).over(before).alias(f"{c}__prev") for c in cols],
-        *[F.first(f"{c}__first", ignorenulls=True).over(after).alias(f"{c}__next") for c in cols],
+        *[F.first(f"{c}__first", ignorenulls=True).over(whole).alias(f"{c}__head") for c in cols],
     )
-    joined = cells.withColumns(
-        {f"{c}__f": F.last(c, ignorenulls=True).over(fwd) for c in cols}
-        | ({f"{c}__b": F.first(c, ignorenulls=True).over(bwd) for c in cols} if backward else {})
+    # null-safe, since a group key may be null
+    same = [F.col(k).eqNullSafe(F.col(f"{k}__k")) for k in keys]
+    joined = cells.withColumns({f"{c}__f": F.last(c, ignorenulls=True).over(running) for c in cols}).join(
+        carried, same, "left"
     )
-    keys = [*by, "cell__"]
-    if by:
-        # null-safe, since a group key may be null
-        cond = [joined[k].eqNullSafe(carried[k]) for k in keys]
-        joined = joined.join(carried, cond, "left").drop(*[carried[k] for k in keys])
-    else:
-        joined = joined.join(carried, keys, "left")
-    filled = {}
-    for c in cols:
-        options = [f"{c}__f", f"{c}__prev"] + ([f"{c}__b", f"{c}__next"] if backward else [])
-        filled[c] = F.coalesce(*[F.col(o) for o in options])
+    tail = ["__head"] if backward else []
+    filled = {c: F.coalesce(*[F.col(f"{c}{s}") for s in ("__f", "__prev", *tail)]) for c in cols}
     return joined.withColumns(filled).select(*df.columns)

@@ -72,7 +72,7 @@ def cross_validate(
     for i in range(n_folds):
         model = models.train(data.where(F.col("fold") != i), kind, features, label, class_weight, seed, **params)
         parts.append(models.predict(model, data.where(F.col("fold") == i)).select("fold", label, "prediction", "score"))
-    scored = reduce(DataFrame.unionByName, parts)
+    scored = cut(reduce(DataFrame.unionByName, parts))
     folds = cut(M.evaluate(scored, label, by=["fold"], metrics=metrics))
     return CrossValidation(folds, summarise_folds(folds))
 
@@ -114,11 +114,10 @@ def tune(
         raise ValueError(f"No default grid for {kind}; pass one")
     combos = expand_grid(grid if grid is not None else DEFAULT_GRIDS[kind], search, n_iter, seed)
     mapped = [models.spark_params(kind, c) for c in combos]
-    weight = models.class_weight_column(df, label, class_weight, kind)
+    weight, total = models.class_weights(df, label, class_weight, kind)
     data = df.select(*key, *[f for f in features if f not in key], label)
     if weight is not None:
         data = data.withColumn(models.WEIGHT, weight)
-    total = data.agg(F.sum(models.WEIGHT) if weight is not None else F.count(F.lit(1))).first()[0]
     data = cut(split.folds(data, key, label, cv, seed))
     base = models.estimator(kind, label, seed, {}, total, weight is not None)
     maps = []

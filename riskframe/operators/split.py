@@ -11,17 +11,15 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import uniform
 from riskframe.operators import clean, order
-
-MAX_CLASSES = 1000
+from riskframe.operators.lineage import cut
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
     """Rows per class, for labels with few classes (checked)."""
-    rows = (
-        df.where(F.col(label).isNotNull()).groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    )
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"Label '{label}' has more than {MAX_CLASSES} classes")
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).count()
+    rows = counts.limit(order.MAX_CLASSES + 1).collect()
+    if len(rows) > order.MAX_CLASSES:
+        raise ValueError(f"Label '{label}' has more than {order.MAX_CLASSES} classes")
     return {r[label]: r["count"] for r in rows}
 
 
@@ -87,12 +85,15 @@ def prepare_and_split(
     seed: int = 42,
     stratify: bool = True,
 ) -> Split:
-    """Choose the features, keep the row key beside them, and split by class."""
+    """Choose the features, keep the row key beside them, and split by class.
+
+    The marked table is stored once, since training reads its parts many times.
+    """
     conf = clean.DATASETS[dataset]
     dropped = [*(conf["exclude"] if exclude is None else exclude), *key]
     names = clean.feature_columns(df, conf["target"], dropped, features)
     kept = df.select(*key, *[n for n in names if n not in key], conf["target"])
-    marked = stratified(kept, key, conf["target"], test_size, seed, stratify=stratify)
+    marked = cut(stratified(kept, key, conf["target"], test_size, seed, stratify=stratify))
     return Split(
         train=marked.where("split = 'train'").drop("split"),
         test=marked.where("split = 'test'").drop("split"),

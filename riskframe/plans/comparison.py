@@ -101,7 +101,7 @@ def train_and_compare(
         cv = selection.cross_validate(train, key, c.kind, features, label, n_folds, seed=seed, **params)
         cv_parts.append(cv.summary.select(F.lit(c.name).alias("model_name"), "*"))
     ids = ["model_name", "model_type", "interpretability_score"]
-    test_metrics = cut(M.evaluate(reduce(DataFrame.unionByName, scored), label, by=ids))
+    test_metrics = cut(M.evaluate(cut(reduce(DataFrame.unionByName, scored)), label, by=ids))
     cv_summary = cut(reduce(DataFrame.unionByName, cv_parts))
     board = selection.leaderboard(test_metrics, cv_summary, primary_metric)
     return Comparison(board, test_metrics, cv_summary, fitted, features)

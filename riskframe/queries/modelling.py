@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import hours_between, uniform
 from riskframe.operators import metrics as M
 from riskframe.operators import models, selection, split
-from riskframe.operators.lineage import work_dir
+from riskframe.operators.lineage import cut, work_dir
 from riskframe.plans import comparison, etl
 from riskframe.queries.base import EVENT_KEY, PRED, TX, hash32_sql, rounded, uniform_sql, union_sql, with_ctes
 from riskframe.sources import canonical as C
@@ -21,29 +19,28 @@ SCORERS = (
     ("Model B", "random_forest", 0.6, 43, 37),
     ("Model C", "xgboost", 0.5, 44, 34),
 )
+MODEL_IDS = ["model_name", "model_type", "interpretability_score"]
 PROFILES = {"performance": (0.7, 0.3), "balanced": (0.5, 0.5), "interpretability": (0.3, 0.7)}
 TX_FEATURES = ["purchase_value", "age", "hours", "device_id_idx"]
 
 
 def scored_models(spark, d) -> DataFrame:
-    """Predictions of all scorers on every transaction, with folds."""
+    """Predictions of all scorers on every transaction, with folds; one pass over the table."""
     tx = split.folds(C.transactions(spark, d).select("event_id", "class"), ["event_id"], "class")
-    parts = []
+    rows = []
     for name, kind, interpretability, seed, lift in SCORERS:
         score = (F.floor(60 * uniform(["event_id"], seed)) + lift * F.col("class")) / F.lit(100.0)
-        parts.append(
-            tx.select(
+        rows.append(
+            F.struct(
                 F.lit(name).alias("model_name"),
                 F.lit(kind).alias("model_type"),
                 F.lit(interpretability).alias("interpretability_score"),
-                "event_id",
-                "fold",
-                "class",
                 score.alias("score"),
-                (score >= 0.5).cast("int").alias("prediction"),
             )
         )
-    return reduce(DataFrame.unionByName, parts)
+    return tx.select("event_id", "fold", "class", F.inline(F.array(*rows))).withColumn(
+        "prediction", (F.col("score") >= 0.5).cast("int")
+    )
 
 
 FOLDED = (
@@ -137,9 +134,9 @@ def mod7_fold_summary(spark, d):
 
 
 def _board(spark, d):
-    scored = scored_models(spark, d)
-    test = M.evaluate(scored, by=["model_name", "model_type", "interpretability_score"])
-    cv = selection.summarise_folds(M.evaluate(scored, by=["model_name", "fold"]), ["model_name"])
+    scored = cut(scored_models(spark, d))
+    test = cut(M.evaluate(scored, by=MODEL_IDS))
+    cv = cut(selection.summarise_folds(M.evaluate(scored, by=["model_name", "fold"]), ["model_name"]))
     return test, cv
 
 
@@ -168,7 +165,6 @@ def mod10_margins(spark, d):
     return rounded(selection.margins(selection.leaderboard(test, cv)))
 
 
-MODEL_IDS = ["model_name", "model_type", "interpretability_score"]
 FOLD_SUMMARY = (
     f"fm as ({long_metrics(['model_name', 'fold'], 'f_')}),"
     " fs as (select model_name, metric, avg(value) as mean, stddev_pop(value) as std, min(value) as min, max(value) as max"
@@ -237,7 +233,7 @@ def model_table(spark, d) -> DataFrame:
 
 
 def _fit_and_score(spark, d, kind, **params):
-    data = split.stratified(model_table(spark, d), ["event_id"])
+    data = cut(split.stratified(model_table(spark, d), ["event_id"]))
     train, test = data.where("split = 'train'").drop("split"), data.where("split = 'test'").drop("split")
     return models.train_and_evaluate(train, test, kind, TX_FEATURES, **params)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import hours_between
-from riskframe.operators import features, geo, profile, risk
+from riskframe.operators import features, geo, profile, resample, risk
 from riskframe.queries.base import BANK, GEO, TX, rounded, union_sql, with_ctes
 from riskframe.sources import canonical as C
 
@@ -155,7 +155,8 @@ def agg9_describe(spark, d):
 
 
 def agg9_describe_bank(spark, d):
-    return rounded(profile.describe(C.bank(spark, d), BANK_COLUMNS))
+    # means of two-decimal amounts often end in ...5 at the seventh place: compare at four
+    return rounded(profile.describe(C.bank(spark, d), BANK_COLUMNS), 4)
 
 
 def agg9_describe_text(spark, d):
@@ -172,13 +173,14 @@ def agg11_mean_median(spark, d):
     return rounded(profile.mean_median_by_label(tx, ["purchase_value", "age", "time_to_purchase"]))
 
 
-def describe_sql(ctes: str, table: str, cols, by: str = "") -> str:
+def describe_sql(ctes: str, table: str, cols, by: str = "", decimals: int = 6) -> str:
     parts = []
     for c in cols:
         parts.append(
-            f"select {by + ', ' if by else ''}'{c}' as column_name, count(v) as count, round(avg(v), 6) as mean,"
-            " round(stddev_samp(v), 6) as std, round(min(v), 6) as min, round(quantile_cont(v, 0.25), 6) as q25,"
-            " round(quantile_cont(v, 0.5), 6) as q50, round(quantile_cont(v, 0.75), 6) as q75, round(max(v), 6) as max"
+            f"select {by + ', ' if by else ''}'{c}' as column_name, count(v) as count, round(avg(v), {decimals}) as mean,"
+            f" round(stddev_samp(v), {decimals}) as std, round(min(v), {decimals}) as min,"
+            f" round(quantile_cont(v, 0.25), {decimals}) as q25, round(quantile_cont(v, 0.5), {decimals}) as q50,"
+            f" round(quantile_cont(v, 0.75), {decimals}) as q75, round(max(v), {decimals}) as max"
             f" from (select *, cast(\"{c}\" as double) as v from {table}){' group by ' + by if by else ''}"
         )
     return with_ctes(ctes, union_sql(parts))
@@ -311,6 +313,10 @@ def agg16_device_levels(spark, d):
     return rounded(profile.geo_risk(_tx(spark, d), "device_id", min_rows=5))
 
 
+def agg16_user_levels(spark, d):
+    return rounded(profile.geo_risk(_tx(spark, d), "user_id", min_rows=50))
+
+
 def levels_sql(ctes: str, key: str, table: str, min_rows: int) -> str:
     return with_ctes(
         ctes,
@@ -334,8 +340,6 @@ def agg17_compare_datasets(spark, d):
 
 
 def agg18_distribution_change(spark, d):
-    from riskframe.operators import resample
-
     tx = _tx(spark, d)
     return rounded(profile.distribution_change(tx, resample.undersample(tx, ["event_id"], ratio=0.5)))
 
@@ -538,7 +542,7 @@ QUERIES = {
     "agg8_top_correlated": (agg8_top_correlated, _top_corr_sql()),
     "agg8_top_matrix": (agg8_top_matrix, _top_matrix_sql()),
     "agg9_describe": (agg9_describe, describe_sql(TX, "tx", ("purchase_value", "age", "ip_address"))),
-    "agg9_describe_bank": (agg9_describe_bank, describe_sql(BANK, "bank", BANK_COLUMNS)),
+    "agg9_describe_bank": (agg9_describe_bank, describe_sql(BANK, "bank", BANK_COLUMNS, decimals=4)),
     "agg9_describe_text": (agg9_describe_text, _describe_text_sql()),
     "agg10_describe_by_label": (
         agg10_describe_by_label,
@@ -572,6 +576,7 @@ QUERIES = {
     ),
     "agg16_country_levels": (agg16_country_levels, levels_sql(GEO, "country", "geo", 100)),
     "agg16_device_levels": (agg16_device_levels, levels_sql(TX, "device_id", "tx", 5)),
+    "agg16_user_levels": (agg16_user_levels, levels_sql(TX, "user_id", "tx", 50)),
     "agg17_compare_datasets": (
         agg17_compare_datasets,
         with_ctes(

@@ -48,7 +48,7 @@ def snk1_save_and_read(spark, d):
     path = f"{_folder(spark)}/tx.parquet"
     tx = C.transactions(spark, d).withColumn("purchase_date", F.to_date("purchase_time").cast("string"))
     S.save(tx, path, partition_by=["purchase_date"])
-    return S.load_parquet(spark, path, TX_COLUMNS).groupBy("purchase_date").agg(
+    return S.load_parquet(spark, path, TX_COLUMNS).groupBy(F.col("purchase_date").cast("string").alias("purchase_date")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("class").alias("fraud_count")
     )
 
