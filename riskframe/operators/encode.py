@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import hash32
 from riskframe.operators.clean import require_columns, string_columns
+from riskframe.operators.lineage import cut
 from riskframe.operators.order import MAX_CELLS, cell_count
 
 NULL_TEXT = "nan"
 SAMPLE_VALUES = 20_000
+# Columns with at most this many values have their codes broadcast; others join by shuffle.
+BROADCAST_VALUES = 1_000_000
 
 
 def _text(name: str):
@@ -24,7 +27,7 @@ def label_fit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
     Absent columns are skipped; null is the text 'nan'. Distinct values are placed by range
     cells whose borders come from a bounded sample, so a vocabulary of any size is
-    numbered in parallel.
+    numbered in parallel. The mapping, the fitted encoder, is stored once.
     """
     columns = [c for c in (string_columns(df) if columns is None else columns) if c in df.columns]
     if not columns:
@@ -47,7 +50,7 @@ def label_fit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     over_cells = Window.partitionBy("column_name").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("column_name", "cell", F.coalesce(F.sum("n").over(over_cells), F.lit(0)).alias("off"))
     inside = Window.partitionBy("column_name", "cell").orderBy("value")
-    return (
+    return cut(
         placed.withColumn("rn", F.row_number().over(inside))
         .join(offsets, ["column_name", "cell"])
         .select("column_name", "value", (F.col("off") + F.col("rn") - 1).alias("code"))
@@ -57,15 +60,19 @@ def label_fit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 def label_apply(df: DataFrame, mapping: DataFrame, columns: Sequence[str], drop_original: bool = False) -> DataFrame:
     """Add ``<col>_idx``; values unknown to the mapping get null.
 
-    The mapping side is joined without a hint: Spark broadcasts it when its measured size
-    allows, and splits skewed values otherwise.
+    Codes are broadcast after a check of their number. A larger vocabulary joins by
+    shuffle, where adaptive execution splits the rows of a hot value.
     """
     require_columns(df, columns)
+    sizes = mapping.where(F.col("column_name").isin(list(columns))).groupBy("column_name").count().collect()
+    small = {r["column_name"] for r in sizes if r["count"] <= BROADCAST_VALUES}
     out = df
     for c in columns:
         codes = mapping.where(F.col("column_name") == c).select(
             F.col("value").alias(f"{c}__text"), F.col("code").alias(f"{c}_idx")
         )
+        if c in small:
+            codes = F.broadcast(codes)
         out = out.withColumn(f"{c}__text", _text(c)).join(codes, f"{c}__text", "left").drop(f"{c}__text")
     names = [c for c in df.columns if not (drop_original and c in columns)]
     return out.select(*names, *[f"{c}_idx" for c in columns])

@@ -286,27 +286,30 @@ def carry_fill(
     the head of a group, and its backward fill is the first non-null value of the group,
     which the cell list gives as well.
     """
-    cells = value_cells(df, [order_by]).withColumnRenamed(f"{order_by}__cell", "cell__")
-    running = Window.partitionBy(*by, "cell__").orderBy(order_by).rowsBetween(Window.unboundedPreceding, 0)
+    # the group key as one struct: never null itself, so window and join share one exchange
+    cells = (
+        value_cells(df, [order_by])
+        .withColumnRenamed(f"{order_by}__cell", "cell__")
+        .withColumn("group__", F.struct(*by) if by else F.lit(0))
+    )
+    keys = ["group__", "cell__"]
+    running = Window.partitionBy(*keys).orderBy(order_by).rowsBetween(Window.unboundedPreceding, 0)
     known = {c: F.when(F.col(c).isNotNull(), F.struct(order_by, c)) for c in cols}
-    per_cell = cells.groupBy(*by, "cell__").agg(
+    per_cell = cells.groupBy(*keys).agg(
         *[F.max(k)[c].alias(f"{c}__last") for c, k in known.items()],
         *[F.min(k)[c].alias(f"{c}__first") for c, k in known.items()],
     )
-    over = Window.partitionBy(*by).orderBy("cell__")
+    over = Window.partitionBy("group__").orderBy("cell__")
     before = over.rowsBetween(Window.unboundedPreceding, -1)
     whole = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    keys = [*by, "cell__"]
     carried = per_cell.select(
-        *[F.col(k).alias(f"{k}__k") for k in keys],
+        *keys,
         *[F.last(f"{c}__last", ignorenulls=True).over(before).alias(f"{c}__prev") for c in cols],
         *[F.first(f"{c}__first", ignorenulls=True).over(whole).alias(f"{c}__head") for c in cols],
     )
-    # null-safe, since a group key may be null
-    same = [F.col(k).eqNullSafe(F.col(f"{k}__k")) for k in keys]
-    joined = cells.withColumns({f"{c}__f": F.last(c, ignorenulls=True).over(running) for c in cols}).join(
-        carried, same, "left"
-    )
+    if not by:
+        carried = F.broadcast(carried)  # one row per cell, at most MAX_CELLS + 1
+    filled_inside = cells.withColumns({f"{c}__f": F.last(c, ignorenulls=True).over(running) for c in cols})
     tail = ["__head"] if backward else []
     filled = {c: F.coalesce(*[F.col(f"{c}{s}") for s in ("__f", "__prev", *tail)]) for c in cols}
-    return joined.withColumns(filled).select(*df.columns)
+    return filled_inside.join(carried, keys, "left").withColumns(filled).select(*df.columns)

@@ -38,6 +38,20 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
     )
 
 
+def column_aggregates(df: DataFrame, cols: Sequence[str], by: Sequence[str], measures: dict) -> DataFrame:
+    """(by, column_name, measures): all columns in one wide aggregate, turned to rows afterwards.
+
+    ``measures`` maps a name to a function of a column.
+    """
+    wide = df.groupBy(*by).agg(
+        *[fn(F.col(c).cast("double")).alias(f"{c}__{m}") for c in cols for m, fn in measures.items()]
+    )
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{m}").alias(m) for m in measures]) for c in cols
+    ]
+    return wide.select(*by, F.inline(F.array(*rows)))
+
+
 def group_risk(
     df: DataFrame, key: str, label: str = "class", min_rows: int = 0, percent: bool = False
 ) -> DataFrame:
@@ -187,24 +201,14 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), approx:
     Quantiles are exact and interpolated; ``approx`` takes them from a sketch in the same pass.
     """
     probs = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-    sketch = (
-        [F.percentile_approx("value", F.lit(p)).alias(name) for name, p in probs.items()] if approx else []
-    )
-    moments = (
-        long_values(df, cols, by)
-        .groupBy(*by, "column_name")
-        .agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            *sketch,
-            F.max("value").alias("max"),
-        )
-    )
+    kept = df if not by else df.dropna(subset=list(by))
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    if approx:
+        measures |= {name: (lambda c, p=p: F.percentile_approx(c, F.lit(p))) for name, p in probs.items()}
+    out = column_aggregates(kept, cols, by, measures)
     if not approx:
-        moments = moments.join(order.quantiles(df, cols, probs, by), [*by, "column_name"])
-    return moments.select(*by, "column_name", "count", "mean", "std", "min", *probs, "max")
+        out = out.join(order.quantiles(kept, cols, probs, by), [*by, "column_name"], "left")
+    return out.select(*by, "column_name", "count", "mean", "std", "min", *probs, "max")
 
 
 def describe_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -216,7 +220,7 @@ def describe_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def mean_median_by_label(df: DataFrame, cols: Sequence[str], label: str = "class") -> DataFrame:
     """(label, column_name, mean, median)."""
-    means = long_values(df, cols, [label]).groupBy(label, "column_name").agg(F.avg("value").alias("mean"))
+    means = column_aggregates(df.dropna(subset=[label]), cols, [label], {"mean": F.avg})
     return means.join(order.quantiles(df, cols, {"median": 0.5}, [label]), [label, "column_name"])
 
 
