@@ -73,6 +73,7 @@ def value_cells(df: DataFrame, cols: Sequence[str], cells: int | None = None) ->
             handleInvalid="keep",
         )
         .transform(df.withColumns(copies))
+        .withColumns({f"{c}__cell": F.col(f"{c}__cell").cast("int") for c in cols})
         .drop(*copies)
     )
 
@@ -119,7 +120,7 @@ def value_counts_long(
     pairs = [
         F.struct(
             F.lit(c).alias("column_name"),
-            F.col(f"{c}__cell").cast("int").alias("cell"),
+            F.col(f"{c}__cell").alias("cell"),
             F.col(c).cast("double").alias("value"),
         )
         for c in cols
