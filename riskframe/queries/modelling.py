@@ -155,6 +155,16 @@ def mod9_summary(spark, d):
     return rounded(selection.board_summary(selection.leaderboard(test, cv)))
 
 
+def snk3_json_summary(spark, d):
+    """The ranking written as JSON and read back."""
+    test, cv = _board(spark, d)
+    path = f"{work_dir(spark)}/{etl.run_name()}"
+    result = comparison.Comparison(selection.leaderboard(test, cv), test, cv, {}, [])
+    comparison.save_json_summary(result, path, "ecommerce")
+    back = spark.read.schema("dataset string, model_name string, overall_score double, place int").json(f"{path}/leaderboard")
+    return rounded(back)
+
+
 def mod9b_profiles(spark, d):
     test, cv = _board(spark, d)
     return rounded(selection.leaderboard_profiles(test, PROFILES, cv))
@@ -357,6 +367,14 @@ QUERIES = {
             " (select count(*) from board) as total_models_compared from board where place = 1",
         ),
     ),
+    "snk3_json_summary": (
+        snk3_json_summary,
+        with_ctes(
+            BOARD_CTES + ", " + board_sql("f1", True, 0.3, 0.7),
+            "select 'ecommerce' as dataset, model_name, round(overall_score, 6) as overall_score, cast(place as int) as place"
+            " from board",
+        ),
+    ),
     "mod9b_profiles": (mod9b_profiles, _profiles_sql()),
     "mod10_margins": (
         mod10_margins,

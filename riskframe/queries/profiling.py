@@ -384,7 +384,7 @@ def sta1_mann_whitney_bank(spark, d):
 
 
 def sta1_p_value(spark, d):
-    return risk.mann_whitney(_tx(spark, d), "age")
+    return rounded(risk.mann_whitney(_tx(spark, d), "age"))
 
 
 AMOUNT_SQL = (
@@ -447,7 +447,15 @@ def _summary_sql() -> str:
     )
 
 
-def mann_whitney_sql(ctes: str, table: str, value: str, label: str) -> str:
+# two-sided normal tail 1 - erf(|z| / sqrt 2), with erf as its power series
+TAIL = (
+    "1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 40), lambda k: pow(-1, k) * pow(z / sqrt(2.0), 2 * k + 1)"
+    " / (gamma(k + 1) * (2 * k + 1))))"
+)
+
+
+def mann_whitney_sql(ctes: str, table: str, value: str, label: str, p_value: bool = False) -> str:
+    tail = f", round(least(1.0, {TAIL}), 6) as p_value" if p_value else ""
     return with_ctes(
         ctes
         + f""", counts as (select "{value}" as v, count(*) as n, sum("{label}") as pos from {table} where "{value}" is not null group by 1),
@@ -456,8 +464,8 @@ def mann_whitney_sql(ctes: str, table: str, value: str, label: str) -> str:
     sum(pos * (below + (n + 1) / 2)) as r1, sum(cast(n as double) * n * n - n) as ties from ranked),
   stat as (select n1, n0, r1 - n1 * (n1 + 1) / 2 as u,
     sqrt(n1 * n0 / 12 * ((n1 + n0 + 1) - ties / ((n1 + n0) * (n1 + n0 - 1)))) as s from sums)""",
-        "select cast(n1 as bigint) as n1, cast(n0 as bigint) as n0, round(u, 6) as u_statistic,"
-        " round((greatest(u, n1 * n0 - u) - n1 * n0 / 2 - 0.5) / s, 6) as z from stat",
+        f"select cast(n1 as bigint) as n1, cast(n0 as bigint) as n0, round(u, 6) as u_statistic, round(z, 6) as z{tail}"
+        " from (select *, (greatest(u, n1 * n0 - u) - n1 * n0 / 2 - 0.5) / s as z from stat)",
     )
 
 
@@ -621,5 +629,5 @@ QUERIES = {
     "rsk5_summary": (rsk5_summary, _summary_sql()),
     "sta1_mann_whitney": (sta1_mann_whitney, mann_whitney_sql(TX, "tx", "purchase_value", "class")),
     "sta1_mann_whitney_bank": (sta1_mann_whitney_bank, mann_whitney_sql(BANK, "bank", "V1", "Class")),
-    "sta1_p_value": (sta1_p_value, None),
+    "sta1_p_value": (sta1_p_value, mann_whitney_sql(TX, "tx", "age", "class", p_value=True)),
 }

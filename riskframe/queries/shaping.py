@@ -289,6 +289,7 @@ SPLIT_CTE = (
   select *, case when row_number() over (partition by class order by {H42}, event_id)
     <= floor(count(*) over (partition by class) * 0.2 + 0.5) then 'test' else 'train' end as split from tx)"""
 )
+COPY_KEY = "vec_id || '|' || copy"
 BANK_KEY = "l_orderkey || '|' || l_linenumber"
 
 
@@ -304,7 +305,7 @@ def res1_smote(spark, d):
 
 def res1_smote_transactions(spark, d):
     tx = C.transactions(spark, d).select("event_id", "purchase_value", "age", "class")
-    return resample.smote(tx, ["event_id"], ratio=0.3)
+    return rounded(resample.smote(tx, ["event_id"], ratio=0.3))
 
 
 def res2_undersample(spark, d):
@@ -313,7 +314,7 @@ def res2_undersample(spark, d):
 
 def res3_smote_undersample(spark, d):
     df = C.wide_features(spark, d, DIMS)
-    return resample.smote_undersample(df, ["vec_id"], "Class", DIM_NAMES, 0.3, 0.5)
+    return rounded(resample.smote_undersample(df, ["vec_id"], "Class", DIM_NAMES, 0.3, 0.5))
 
 
 def res4_choose_strategy(spark, d):
@@ -359,6 +360,40 @@ def _strategy_sql(ctes: str, label: str, table: str) -> str:
     )
 
 
+def smote_ctes(table: str, key: str, features: list[str], label: str, ratio: float, k: int = 5, seed: int = 42) -> str:
+    """CTE ``grown`` (key, features, label, copy): oversampling by brute force over all minority pairs."""
+    f = ", ".join(f'cast("{c}" as double) as "{c}"' for c in features)
+    text = " || ',' || ".join(f'cast("{c}" as varchar)' for c in features)
+    firsts = ", ".join(f'any_value("{c}") as "{c}"' for c in features)
+    square = " + ".join(f'(a."{c}" - b."{c}") * (a."{c}" - b."{c}")' for c in features)
+    copy_key = f"{key} || '|' || copy"
+    moved = ", ".join(f's."{c}" + s.step * (m."{c}" - s."{c}") as "{c}"' for c in features)
+    return f"""source as (select {key}, {f}, "{label}" from {table}),
+  few as (select *, md5({text}) as vid, row_number() over (order by {hash32_sql(f"cast({key} as varchar)", seed)}, {key}) as draw
+    from source where "{label}" = 1),
+  sizes as (select (select count(*) from few) as n1,
+    cast(floor((select count(*) from source where "{label}" = 0) * {ratio}) as bigint) - (select count(*) from few) as wanted),
+  points as (select vid, count(*) as n, {firsts} from few group by vid),
+  pairs as (select a.vid, b.vid as nvid, b.n, row_number() over (partition by a.vid order by sqrt({square}), b.vid) as r
+    from points a join points b on a.vid <> b.vid qualify r <= {k}),
+  runs as (select vid, vid as nvid, 0 as r, least(n - 1, {k}) as size from points
+    union all select vid, nvid, r, least(n, {k}) from pairs),
+  spans as (select *, sum(size) over (partition by vid order by r) as stop from runs),
+  places as (select vid, least(max(stop), {k}) as places from spans group by vid),
+  copies as (select few.*, unnest(range(1, 2 + cast(wanted // n1 as bigint) + case when draw <= wanted % n1 then 1 else 0 end - 1)) as copy
+    from few, sizes),
+  steps as (select copies.*, {hash32_sql(copy_key, seed)} % places + 1 as place, {uniform_sql(copy_key, seed + 1)} as step
+    from copies join places using (vid)),
+  picked as (select s.*, spans.nvid from steps s join spans on s.vid = spans.vid and s.place <= spans.stop
+    and s.place > spans.stop - spans.size),
+  grown as (select {key}, {", ".join(f'"{c}"' for c in features)}, "{label}", 0 as copy from source
+    union all select s.{key}, {moved}, s."{label}", cast(s.copy as int) from picked s join points m on s.nvid = m.vid)"""
+
+
+def _rounded_names(names) -> str:
+    return ", ".join(f'round("{c}", 6) as "{c}"' for c in names)
+
+
 QUERIES = {
     "scl1_hours_since_signup": (scl1_hours_since_signup, with_ctes(TX, f"select event_id, {HOURS} as hours from tx")),
     "scl2_time_features": (scl2_time_features, with_ctes(TX, TIME_SQL)),
@@ -545,7 +580,13 @@ QUERIES = {
             ' - count(*) filter ("Class" = 1) from wide',
         ),
     ),
-    "res1_smote_transactions": (res1_smote_transactions, None),
+    "res1_smote_transactions": (
+        res1_smote_transactions,
+        with_ctes(
+            TX + ", " + smote_ctes("tx", "event_id", ["purchase_value", "age"], "class", 0.3),
+            f"select event_id, {_rounded_names(['purchase_value', 'age'])}, class, copy from grown",
+        ),
+    ),
     "res2_undersample": (
         res2_undersample,
         with_ctes(
@@ -554,7 +595,15 @@ QUERIES = {
             " <= (select floor(count(*) / 0.5) from tx where class = 1)",
         ),
     ),
-    "res3_smote_undersample": (res3_smote_undersample, None),
+    "res3_smote_undersample": (
+        res3_smote_undersample,
+        with_ctes(
+            wide_cte(DIMS) + ", " + smote_ctes("wide", "vec_id", DIM_NAMES, "Class", 0.3),
+            f'select vec_id, {_rounded_names(DIM_NAMES)}, "Class", copy from grown qualify "Class" = 1 or row_number() over'
+            f" (partition by \"Class\" order by {hash32_sql(COPY_KEY, 42)}, vec_id, copy)"
+            ' <= (select floor(count(*) / 0.5) from grown where "Class" = 1)',
+        ),
+    ),
     "res4_choose_strategy": (res4_choose_strategy, _strategy_sql(TX, "class", "tx")),
     "res4_choose_strategy_bank": (res4_choose_strategy_bank, _strategy_sql(BANK, "Class", "bank")),
     "res5_class_weights": (
