@@ -159,10 +159,13 @@ def tree_phi(
     require_columns(df, [*key, *features])
     features = list(features)
     leaves = leaf_table(_classifier(model), folder)
-    shared = df.sparkSession.sparkContext.broadcast(leaves)
+    # plain arrays, since a broadcast value is read without the package
+    shared = df.sparkSession.sparkContext.broadcast(
+        (leaves.feature, leaves.low, leaves.high, leaves.share, leaves.value)
+    )
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = shared.value
+        table = LeafTable(*shared.value)
         for pdf in batches:
             for start in range(0, len(pdf), ROWS_AT_ONCE):
                 part = pdf.iloc[start : start + ROWS_AT_ONCE]
