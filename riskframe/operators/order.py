@@ -22,6 +22,8 @@ HOT_GROUP_ROWS = 2_000_000
 # hash32 cells: 2^16 of them, so a class of 10^12 rows has about 1.5 * 10^7 per cell.
 HASH_CELL_SHIFT = 65536
 MAX_CELLS = 512
+# Hot keys up to this number are broadcast.
+MAX_HOT_KEYS = 100_000
 # Part of the rows that is sketched to place cell borders.
 BORDER_SAMPLE = 0.05
 # Labels with more classes than this are no labels.
@@ -34,18 +36,26 @@ def cell_count(df: DataFrame) -> int:
     return max(2, min(parts, MAX_CELLS))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
-    """Keys whose group is too large for one task, or None if there are none.
+def route_hot(df: DataFrame, key: str, max_rows: int, usable: Column) -> tuple[DataFrame, DataFrame | None]:
+    """Split the table into (rows of ordinary groups, rows of hot groups or None).
 
-    The limit is at least n / 100000, hence at most 100000 keys can pass it: the
-    result may be broadcast whatever the size of ``df``.
+    A group is hot with more than ``max_rows`` usable rows. One aggregate counts the groups.
+    Up to MAX_HOT_KEYS hot keys are broadcast; with more of them, all usable rows count as
+    hot. Rows that are not usable always go to the first table.
     """
-    counts = df.groupBy(*keys).count()
-    stats = counts.agg(F.max("count").alias("top"), F.sum("count").alias("n")).first()
-    limit = max(max_rows, (stats["n"] or 0) // 100_000)
-    if (stats["top"] or 0) <= limit:
-        return None
-    return counts.where(F.col("count") > limit).select(*keys)
+    counts = df.where(usable).groupBy(key).count()
+    hot = counts.where(F.col("count") > max_rows).select(F.col(key).alias("route__"))
+    n_hot = hot.limit(MAX_HOT_KEYS + 1).count()
+    if n_hot == 0:
+        return df, None
+    if n_hot > MAX_HOT_KEYS:
+        return df.where(~usable), df.where(usable)
+    routed = df.withColumn("route__", F.when(usable, F.col(key)))
+    hot = F.broadcast(hot)
+    return (
+        routed.join(hot, "route__", "left_anti").select(*df.columns),
+        routed.join(hot, "route__", "left_semi").select(*df.columns),
+    )
 
 
 def value_cells(df: DataFrame, cols: Sequence[str], cells: int | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 
 
 from riskframe.functions import scalar
-from riskframe.operators import features
+from riskframe.operators import features, order
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "id long, user_id string, purchase_time timestamp_ntz"
@@ -34,8 +34,9 @@ def data():
 
 
 @pytest.mark.parametrize("closed", ["both", "left"])
-@pytest.mark.parametrize("max_rows", [10**6, 20])
-def test_velocity_matches_brute_force(spark, data, closed, max_rows):
+@pytest.mark.parametrize("max_rows,hot_keys", [(10**6, 100), (20, 100), (0, 1)])
+def test_velocity_matches_brute_force(spark, monkeypatch, data, closed, max_rows, hot_keys):
+    monkeypatch.setattr(order, "MAX_HOT_KEYS", hot_keys)
     df = spark.createDataFrame(data, SCHEMA)
     out = features.velocity(df, windows=["1h", "24h"], closed=closed, max_group_rows=max_rows, cell_hours=0.7)
     name = "transaction_count_" if closed == "both" else "transactions_last_"

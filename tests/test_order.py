@@ -79,10 +79,12 @@ def test_mark_smallest_without_classes(spark):
     assert marked.where("taken").count() == 20
 
 
-def test_hot_keys(spark):
-    df = spark.createDataFrame([("a",)] * 50 + [("b",)] * 3, "k string")
-    assert order.hot_keys(df, ["k"], 100) is None
-    assert [r["k"] for r in order.hot_keys(df, ["k"], 10).collect()] == ["a"]
+@pytest.mark.parametrize("limit,keys,want", [(100, 5, (56, None)), (10, 5, (6, 50)), (10, 0, (3, 53))])
+def test_route_hot(spark, monkeypatch, limit, keys, want):
+    monkeypatch.setattr(order, "MAX_HOT_KEYS", keys)
+    df = spark.createDataFrame([("a",)] * 50 + [("b",)] * 3 + [(None,)] * 3, "k string")
+    light, heavy = order.route_hot(df, "k", limit, F.col("k").isNotNull())
+    assert (light.count(), heavy and heavy.count()) == want
 
 
 def test_carry_fill_across_cells(spark):
