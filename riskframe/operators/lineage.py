@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,10 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 def work_dir(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``.
 
-    Only a session without that setting (tests, one machine) gets a temporary folder.
+    A session without that setting gets a folder of its own only where driver and tasks are one machine
+    (master ``local...``); on a cluster the setting is required.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return shared or tempfile.mkdtemp(prefix="riskframe-")
+    if shared:
+        return shared
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
+    own = os.path.join("/tmp", f"riskframe-{uuid.uuid4().hex}")
+    spark.conf.set("spark.checkpoint.dir", own)
+    return own
 
 
 def cut(df: DataFrame) -> DataFrame:
