@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,3 +53,12 @@ def shuffle_parts(spark: SparkSession) -> int:
 
 def empty_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+def worker_store(kind: str, key: object, make: Callable[[], object]) -> object:
+    """A value that a Python worker makes once and keeps for its later tasks (the package itself travels with each task)."""
+    module = sys.modules.setdefault("riskframe_worker_store", types.ModuleType("riskframe_worker_store"))
+    kept = module.__dict__.setdefault("kept", {})
+    if (kind, key) not in kept:
+        kept[kind, key] = make()
+    return kept[kind, key]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import salted_join, stored
+from riskframe.llm.common import salted_join, stored, worker_store
 from riskframe.llm.components import components
 from riskframe.llm.textbytes import U, Words, blocks, mix, odd_constants, windows
 
@@ -33,15 +33,11 @@ LEADERS = 4
 # Lists of identifiers up to this size are broadcast; longer ones are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
-_ring: dict[tuple[int, int], np.ndarray] = {}
-
 
 def _slices(length: int, seed: int) -> np.ndarray:
     """Row s: the second permutation read from cell s on, round the ring, for ``length`` cells."""
-    if (length, seed) not in _ring:
-        table = np.random.Generator(np.random.PCG64(seed)).permutation(1 << RING_BITS).astype(np.uint32)
-        _ring[length, seed] = np.lib.stride_tricks.sliding_window_view(np.concatenate([table, table[:length]]), length)
-    return _ring[length, seed]
+    table = np.random.Generator(np.random.PCG64(seed)).permutation(1 << RING_BITS).astype(np.uint32)
+    return np.lib.stride_tricks.sliding_window_view(np.concatenate([table, table[:length]]), length)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -61,7 +57,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) ->
 def signature(shingles: np.ndarray, length: int, seed: int = 7) -> np.ndarray:
     """Circulant MinHash coordinates of a non-empty set."""
     cells = (mix(shingles, seed) >> U(64 - RING_BITS)).astype(np.int64)
-    table = _slices(length, seed)
+    table = worker_store("ring", (length, seed), lambda: _slices(length, seed))
     out = np.full(length, np.iinfo(np.uint32).max, np.uint32)
     for at in range(0, len(cells), 1024):
         np.minimum(out, table[cells[at : at + 1024]].min(axis=0), out=out)

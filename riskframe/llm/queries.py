@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import minhash
+from riskframe.llm import minhash, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +18,16 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(_table(spark, sf_dir, "documents"), path, capacity=2048, end_id=0, keep_ids=False)
+
+
 QUERIES = {
     "op3_minhash": op3_minhash,
+    "op4_packing": op4_packing,
 }
 
 SQL: dict[str, str] = {}

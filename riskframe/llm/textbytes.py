@@ -50,8 +50,8 @@ def odd_constants(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=U), seed) | U(1)
 
 
-def blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of runs of rows with about BLOCK_BYTES of text; null counts as empty."""
+def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of runs of rows with about ``size`` bytes of text; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column
@@ -65,7 +65,7 @@ def blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None and buffers[2].size else np.zeros(0, np.uint8)
     row = 0
     while row < n:
-        end = max(row + 1, int(np.searchsorted(off, off[row] + BLOCK_BYTES, "right")) - 1)
+        end = max(row + 1, int(np.searchsorted(off, off[row] + size, "right")) - 1)
         end = min(end, n)
         yield row, data[off[row] : off[end]], off[row : end + 1] - off[row]
         row = end
