@@ -7,9 +7,10 @@ slice of the table, and a signature is the element-wise minimum of such slices.
 
 Equal sets fall together first, by an exact group-by on a 128-bit digest of the whole set. Signatures of the
 remaining distinct sets are cut into bands; sets that agree in a band share a bucket. In a bucket no pairs are
-listed: a few leaders are compared with the members that are not yet in the same component, verified on the
-full shingle sets, and then leave the bucket, until no bucket holds two components. So work is linear in the
-bucket per round, and every pair that shares a bucket is either in one component or was compared.
+listed: leaders are compared with the members that are not yet in the same component, verified on the full shingle
+sets, and then leave the bucket, until no bucket holds two components. A round starts with one leader per bucket and
+grows only while its pairs stay in proportion to the table. Every pair that shares a bucket is either in one
+component in the end or was compared.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ SHINGLE = 5
 BANDS = 32
 ROWS = 5
 RING_BITS = 20
-LEADERS = 4
+# Pairs that one round of comparisons may list, for each document row.
+PAIRS_PER_ROW = 4
 # Lists of identifiers up to this size are broadcast; longer ones are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -105,6 +107,9 @@ def _verify(percent: int):
             right = (s for _, d, o in blocks(batch.column(3)) for s in shingle_sets(d, o))
             keep = []
             for x, y in zip(left, right, strict=True):
+                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                    keep.append(False)
+                    continue
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keep, pa.bool_())], ["a", "b", "linked"])
@@ -120,7 +125,7 @@ def _only(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, percent: int = 85, bands: int = BANDS, rows: int = ROWS, leaders: int = LEADERS, seed: int = 7
+    docs: DataFrame, percent: int = 85, bands: int = BANDS, rows: int = ROWS, seed: int = 7
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (needs doc_id, text; other columns are ignored).
 
@@ -155,20 +160,25 @@ def near_duplicates(
     # documents that repeat an id join the classes of their rows
     joined = of_class.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
     repeated = of_class.join(joined.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b"))
-    group = components(repeated)
-    if not members.limit(1).count():
+    group = _merge(None, stored(repeated, "repeated"))
+    size = members.count()
+    if not size:
         return _labelled(signed, of_class, group)
 
     texts = stored(_only(docs, members.select("rep"), "wanted"), "texts")
+    budget = PAIRS_PER_ROW * signed.count()
     checked = None
-    turn = 0
+    slots = 1
     while True:
         tagged = members.join(group.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("label", "rep")).drop("label")
         open_ = tagged.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
         tagged = stored(salted_join(tagged, open_, ["bucket"], "left_semi"), "open")
-        if not tagged.limit(1).count():
+        size = tagged.count()
+        if not size:
             return _labelled(signed, of_class, group)
-        slot = F.lit(0) if not turn else F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(leaders))
+        # four times the leaders in each round, as long as the pairs of a round stay within the budget
+        slots = max(1, min(slots, budget // size))
+        slot = F.pmod(F.xxhash64("rep", F.lit(slots)), F.lit(slots)) if slots > 1 else F.lit(0)
         chosen = tagged.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("rep", "n", "comp")).alias("lead")).select("bucket", "lead.*")
         chosen = stored(chosen.toDF("bucket", "lead", "lead_n", "lead_comp"), "leaders")
         pairs = (
@@ -179,28 +189,28 @@ def near_duplicates(
         )
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
         side = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
         other = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-        both = pairs.join(side, "a").join(other, "b").select("a", "b", "text_a", "text_b")
+        both = pairs.join(other, "b").join(side, "a").select("a", "b", "text_a", "text_b")
         results = stored(both.mapInArrow(_verify(percent), "a long, b long, linked boolean"), "verified")
         done = results.select("a", "b")
         checked = done if checked is None else checked.union(done)
-        # two labels that a verified link joins become one
-        name = group.select(F.col("node"), F.col("label"))
-        links = (
-            results.where("linked")
-            .join(name.toDF("a", "la"), "a", "left")
-            .join(name.toDF("b", "lb"), "b", "left")
-            .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-        )
-        merged = components(links)
-        renamed = group.join(merged.toDF("label", "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-        fresh = merged.join(group.select("node"), "node", "left_anti")
-        group = stored(renamed.union(fresh), "groups")
+        group = _merge(group, results.where("linked"))
         leading = chosen.select("bucket", F.col("lead").alias("rep"))
         members = tagged.select("rep", "n", "bucket").join(leading, ["bucket", "rep"], "left_anti")
-        turn += 1
+        slots *= 4
+
+
+def _merge(group: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, label) after ``links`` (a, b) have joined the components of ``group``."""
+    if not links.limit(1).count():
+        return links.select(F.col("a").alias("node"), F.col("b").alias("label")).limit(0) if group is None else group
+    if group is None:
+        return components(links)
+    named = links.join(group.toDF("a", "la"), "a", "left").join(group.toDF("b", "lb"), "b", "left")
+    merged = components(named.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+    renamed = group.join(merged.toDF("label", "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return stored(renamed.union(merged.join(group.select("node"), "node", "left_anti")), "groups")
 
 
 def _labelled(signed: DataFrame, of_class: DataFrame, group: DataFrame) -> DataFrame:
