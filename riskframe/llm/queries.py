@@ -7,13 +7,17 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import minhash, mixing, packing
+from riskframe.llm import fingerprint, minhash, mixing, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_pairs(_table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -30,6 +34,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_spotsigs": op1_spotsigs,
     "op2_mixing": op2_mixing,
     "op3_minhash": op3_minhash,
     "op4_packing": op4_packing,
