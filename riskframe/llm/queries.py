@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import fingerprint, minhash, mixing, packing
+from riskframe.llm import fingerprint, minhash, mixing, packing, pii
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,11 +33,23 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), path, capacity=2048, end_id=0, keep_ids=False)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = pii.find(_table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("found", lambda s: s["kind"] == k)).cast("long")
+    return spans.select(
+        "doc_id",
+        *[count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)],
+        F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("found")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_mixing": op2_mixing,
     "op3_minhash": op3_minhash,
     "op4_packing": op4_packing,
+    "op8_pii": op8_pii,
 }
 
 SQL: dict[str, str] = {
