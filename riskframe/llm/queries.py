@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import fingerprint, minhash, mixing, packing, pii
+from riskframe.llm import fingerprint, minhash, mixing, packing, pii, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,12 +44,18 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "anomaly")
+
+
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_mixing": op2_mixing,
     "op3_minhash": op3_minhash,
     "op4_packing": op4_packing,
     "op8_pii": op8_pii,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 SQL: dict[str, str] = {
