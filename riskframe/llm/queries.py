@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import fingerprint, minhash, mixing, packing, pii, quality_rules
+from riskframe.llm import fingerprint, langid, minhash, mixing, packing, pii, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), path, capacity=2048, end_id=0, keep_ids=False)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = pii.find(_table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("found", lambda s: s["kind"] == k)).cast("long")
@@ -54,6 +58,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_minhash": op3_minhash,
     "op4_packing": op4_packing,
+    "op6_language_id": op6_language_id,
     "op8_pii": op8_pii,
     "op10_quality_rules": op10_quality_rules,
 }
