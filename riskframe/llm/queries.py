@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import fingerprint, langid, minhash, mixing, packing, pii, quality_rules
+from riskframe.llm import fingerprint, html_text, langid, minhash, mixing, packing, pii, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "anomaly")
@@ -60,6 +64,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op6_language_id": op6_language_id,
     "op8_pii": op8_pii,
+    "op9_html_text": op9_html_text,
     "op10_quality_rules": op10_quality_rules,
 }
 
