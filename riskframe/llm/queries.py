@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import fingerprint, html_text, langid, minhash, mixing, packing, pii, quality_rules
+from riskframe.llm import fingerprint, html_text, langid, minhash, mixing, packing, pii, quality_rules, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), path, capacity=2048, end_id=0, keep_ids=False)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(_table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_minhash": op3_minhash,
     "op4_packing": op4_packing,
+    "op5_warc": op5_warc,
     "op6_language_id": op6_language_id,
     "op8_pii": op8_pii,
     "op9_html_text": op9_html_text,
@@ -70,6 +76,7 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.SQL,
+    "op5_warc": warc.SQL,
 }
 
 
