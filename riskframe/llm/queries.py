@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import fingerprint, html_text, langid, minhash, mixing, packing, pii, quality_rules, warc
+from riskframe.llm import fingerprint, html_text, langid, minhash, mixing, packing, pii, quality_model, quality_rules, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = pii.find(_table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("found", lambda s: s["kind"] == k)).cast("long")
@@ -69,6 +73,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_warc": op5_warc,
     "op6_language_id": op6_language_id,
+    "op7_quality_model": op7_quality_model,
     "op8_pii": op8_pii,
     "op9_html_text": op9_html_text,
     "op10_quality_rules": op10_quality_rules,
