@@ -24,9 +24,9 @@ CAPACITY = 2048
 # Pieces of one length that one task numbers.
 CELL_ROWS = 200_000
 # Words that a task's cache holds in each of its two generations.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 120_000
 # Bytes of text that are tokenised together.
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 3_000_000
 
 
 class WordIds(dict):
