@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import hash32
 from riskframe.operators import models, split
+from riskframe.operators import order as hash_order
 from riskframe.operators.clean import require_columns
-from riskframe.operators.lineage import work_dir
+from riskframe.operators.lineage import cut, work_dir
 
 LEAVES_AT_ONCE = 64
 ROWS_AT_ONCE = 256
-MAX_BACKGROUND = 1000
+# A background sample up to this size is broadcast; a larger one is joined by its number.
+BROADCAST_BACKGROUND = 10_000
 
 
 def linear_phi(
@@ -197,23 +199,24 @@ def sampled_phi(
 
     For each row and permutation, features switch one after another from a background row
     to the row's own values; a feature's share is the change of the score when it
-    switches. All mixed rows are scored in one ``transform``. The background sample has
-    at most 1000 rows.
+    switches. All mixed rows are scored in one ``transform``. The background sample is a
+    table of ``n_background`` numbered rows, of any size.
     """
     features = list(features)
     require_columns(df, [*key, *features])
-    m = min(n_background, MAX_BACKGROUND)
-    sample = split.sample_rows(background.select(*key, *features), key, m, seed).select(*features).collect()
-    bg_schema = ", ".join(["b__ int", *[f"`bg_{c}` double" for c in features]])
-    bg = df.sparkSession.createDataFrame(
-        [(i, *[float(v) for v in r]) for i, r in enumerate(sample)], bg_schema
+    numbered = hash_order.hash_rank(background.select(*key, *features), [], key, seed, "rank__")
+    bg = cut(
+        numbered.where(F.col("rank__") <= n_background).select(
+            (F.col("rank__") - 1).cast("int").alias("b__"), *[F.col(c).cast("double").alias(f"bg_{c}") for c in features]
+        )
     )
+    n_bg = bg.count()
     d = len(features)
     draws = (
         df.select(*key, *[F.col(c).cast("double").alias(c) for c in features])
         .withColumn("p__", F.explode(F.sequence(F.lit(1), F.lit(n_permutations))))
-        .withColumn("b__", F.pmod(hash32([*key, "p__"], seed), F.lit(len(sample))).cast("int"))
-        .join(F.broadcast(bg), "b__")
+        .withColumn("b__", F.pmod(hash32([*key, "p__"], seed), F.lit(n_bg)).cast("int"))
+        .join(F.broadcast(bg) if n_bg <= BROADCAST_BACKGROUND else bg, "b__")
     )
     places = F.array_sort(
         F.array(*[F.struct(hash32([*key, "p__", F.lit(c)], seed).alias("h"), F.lit(i).alias("i")) for i, c in enumerate(features)])
@@ -256,7 +259,7 @@ def explain_model(
     df: DataFrame,
     key: Sequence[str],
     features: Sequence[str],
-    n_rows: int | None = 100,
+    n_rows: int | None = None,
     background: DataFrame | None = None,
     seed: int = 42,
 ) -> DataFrame:

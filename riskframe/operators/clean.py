@@ -212,7 +212,7 @@ def feature_columns(
         require_columns(df, features)
         names = [c for c in features if c != target]
     if not names:
-        raise ValueError("No feature columns available. Check exclude and features.")
+        raise ValueError(f"No feature is left: the target '{target}' and the excluded columns are all there is")
     return names
 
 

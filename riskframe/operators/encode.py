@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.scalar import hash32
 from riskframe.operators.clean import require_columns, string_columns
 from riskframe.operators.lineage import cut
-from riskframe.operators.order import MAX_CELLS, cell_count
+from riskframe.operators.order import cell_count
 
 NULL_TEXT = "nan"
 SAMPLE_VALUES = 20_000
@@ -34,7 +34,7 @@ def label_fit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         raise ValueError("No categorical columns to encode")
     pairs = [F.struct(F.lit(c).alias("column_name"), _text(c).alias("value")) for c in columns]
     values = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct()
-    n = min(cell_count(df), MAX_CELLS)
+    n = cell_count(df)
     drawn = values.orderBy(hash32(["column_name", "value"], 0)).limit(SAMPLE_VALUES)
     ranked = drawn.withColumn("tile", F.ntile(n).over(Window.partitionBy("column_name").orderBy("value")))
     borders: dict[str, list[str]] = {}

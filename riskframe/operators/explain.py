@@ -130,7 +130,7 @@ def case_studies(
 
 def case_contributions(cases: DataFrame, phi: DataFrame, key: str) -> DataFrame:
     """Contributions of each case, ordered by size: (key, case_type, place, feature, value, phi)."""
-    joined = phi.join(F.broadcast(cases.select(key, "case_type", "probability")), key)
+    joined = phi.join(cases.select(key, "case_type", "probability"), key)
     place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(F.abs("phi")), "feature"))
     cols = [key, "case_type", "probability", "place", "feature", "value", "phi"]
     return joined.withColumn("place", place).select(*cols, *[c for c in ("base_value",) if c in phi.columns])

@@ -98,12 +98,12 @@ def evaluate(
     names = list(metrics) if metrics is not None else list(METRICS)
     wrong = [m for m in names if m not in METRICS]
     if wrong:
-        raise ValueError(f"Invalid metrics: {wrong}. Available: {list(METRICS)}")
+        raise ValueError(f"Invalid metrics: {wrong}; known are {', '.join(METRICS)}")
     flat = scores(df, label, prediction, by)
     if {"roc_auc", "pr_auc"} & set(names):
         areas = ranking_scores(df, label, score, by)
         if by:
-            flat = flat.join(areas, list(by), "left")
+            flat = order.null_safe_join(flat, areas, list(by), "left")
         else:
             both = areas.select(F.struct("roc_auc", "pr_auc")).scalar()
             flat = flat.withColumn("a", both).select("*", "a.roc_auc", "a.pr_auc")

@@ -21,19 +21,25 @@ from riskframe.functions.scalar import hash32
 HOT_GROUP_ROWS = 2_000_000
 # hash32 cells: 2^16 of them, so a class of 10^12 rows has about 1.5 * 10^7 per cell.
 HASH_CELL_SHIFT = 65536
-MAX_CELLS = 512
 # Hot keys up to this number are broadcast.
 MAX_HOT_KEYS = 100_000
-# Part of the rows that is sketched to place cell borders.
+# Part of the rows that is sketched to place cell borders, and the sketches that merge in one task at most.
 BORDER_SAMPLE = 0.05
+BORDER_SKETCHES = 64
 # Labels with more classes than this are no labels.
 MAX_CLASSES = 1000
 
 
 def cell_count(df: DataFrame) -> int:
-    """Number of ordered cells: one per shuffle partition, within bounds."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(parts, MAX_CELLS))
+    """Number of ordered cells: one per shuffle partition."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equality join on ``keys`` in which null equals null; the keys of ``left`` stay."""
+    named = right.withColumnsRenamed({k: f"{k}__right" for k in keys})
+    on = [left[k].eqNullSafe(named[f"{k}__right"]) for k in keys]
+    return left.join(named, on, how).drop(*[f"{k}__right" for k in keys])
 
 
 def route_hot(df: DataFrame, key: str, max_rows: int, usable: Column) -> tuple[DataFrame, DataFrame | None]:
@@ -62,14 +68,17 @@ def value_cells(df: DataFrame, cols: Sequence[str], cells: int | None = None) ->
     """Add ``<col>__cell`` for each numeric column: its range cell by sampled quantiles.
 
     Equal values always share a cell, and cells follow the order of the values. The borders
-    of all columns come from one sketch over a sample; they settle how even the cells are,
-    never what a query returns. Every row gets a cell.
+    of all columns come from sketches over a sample, merged in two levels so that no task
+    takes the sketches of all others; they settle how even the cells are, never what a query
+    returns. Every row gets a cell.
     """
     n = cells or cell_count(df)
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    drawn = df.sample(BORDER_SAMPLE, seed=0).agg(
-        *[F.percentile_approx(F.col(c).cast("double"), probs, 10 * n).alias(c) for c in cols]
-    )
+    sketches = [F.percentile_approx(F.col(c).cast("double"), probs, 10 * n).alias(c) for c in cols]
+    part = F.pmod(F.spark_partition_id(), F.lit(BORDER_SKETCHES)).alias("part__")
+    drawn = df.sample(BORDER_SAMPLE, seed=0).groupBy(part).agg(*sketches)
+    some = drawn.select(F.inline_outer(F.arrays_zip(*[F.col(c) for c in cols])))
+    drawn = some.toDF(*cols).agg(*sketches)
     splits = []
     for row in drawn.first():
         borders = {b for b in row or [] if math.isfinite(b)} or {0.0}
@@ -111,7 +120,7 @@ def add_preceding(
     w = Window.partitionBy(*by, cell).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     inside = {f"{s}__in": F.coalesce(F.sum(s).over(w), F.lit(0)) for s in sums}
     return (
-        df.join(offsets, [*by, cell])
+        null_safe_join(df, offsets, [*by, cell])
         .withColumns(inside)
         .withColumns({f"{s}{suffix}": F.col(f"{s}__in") + F.col(f"{s}__off") for s in sums})
         .drop(*inside, *[f"{s}__off" for s in sums])
@@ -223,8 +232,7 @@ def hash_rank(df: DataFrame, by: Sequence[str], keys: Sequence[str], seed: int,
     offsets = _cell_offsets(hashed.select(*by, "cell__", F.lit(1).alias("n")), by, "cell__", ["n"])
     w = Window.partitionBy(*by, "cell__").orderBy("h__", *keys)
     return (
-        hashed.withColumn("rn__", F.row_number().over(w))
-        .join(offsets, [*by, "cell__"])
+        null_safe_join(hashed.withColumn("rn__", F.row_number().over(w)), offsets, [*by, "cell__"])
         .withColumn(name, F.col("rn__") + F.col("n__off"))
         .drop("h__", "cell__", "rn__", "n__off")
     )
@@ -319,7 +327,7 @@ def carry_fill(
         *[F.first(f"{c}__first", ignorenulls=True).over(whole).alias(f"{c}__head") for c in cols],
     )
     if not by:
-        carried = F.broadcast(carried)  # one row per cell, at most MAX_CELLS + 1
+        carried = F.broadcast(carried)  # one row per cell: as many as shuffle partitions
     filled_inside = cells.withColumns({f"{c}__f": F.last(c, ignorenulls=True).over(running) for c in cols})
     tail = ["__head"] if backward else []
     filled = {c: F.coalesce(*[F.col(f"{c}{s}") for s in ("__f", "__prev", *tail)]) for c in cols}

@@ -10,21 +10,22 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import right_closed_bin
 from riskframe.operators import order
+from riskframe.operators.lineage import cut
 
 # Thresholds of the imbalance ratio, highest first. Fixed values.
 SEVERITY = {
     "banking": ((100, "EXTREME"), (10, "SEVERE"), (5, "MODERATE")),
     "ecommerce": ((10, "SEVERE"), (5, "MODERATE")),
 }
-# Groups whose fitted numbers may be held by the driver and sent back as literals.
+# Groups whose fitted numbers are broadcast; with more of them they are joined by a shuffle.
 MAX_FITTED_ROWS = 100_000
 
 
 def fitted(df: DataFrame, limit: int = MAX_FITTED_ROWS) -> DataFrame:
-    """A small fitted table, computed once and checked in size, to join by broadcast."""
+    """A fitted table, computed once; it is broadcast when it has at most ``limit`` rows."""
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"More than {limit} groups; this profile is for a limited number of groups")
+        return cut(df)
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
@@ -246,7 +247,7 @@ def histogram(df: DataFrame, cols: dict[str, int], by: Sequence[str] = ()) -> Da
         F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("bins")), F.col("bins") - 1
     )
     counts = (
-        values.join(F.broadcast(ranges), keys)
+        values.join(ranges, keys)
         .groupBy(*keys, index.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -90,6 +90,8 @@ def smote(
     original = df.select(*key, *numbers, label, F.lit(0).alias("copy"))
     if wanted <= 0:
         return original
+    if df.where(F.col(label) == low).where(F.greatest(*[(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).cast("int") for c in features], F.lit(0)) > 0).limit(1).count():
+        raise ValueError("The minority rows have null or NaN features; fill or drop them before SMOTE")
     each, extra = divmod(wanted, counts[low])
     vid = F.md5(F.concat_ws(",", *[F.col(c).cast("string") for c in features]))
     minority = df.where(F.col(label) == low).select(*key, *numbers).withColumn("vid", vid)

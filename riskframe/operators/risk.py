@@ -110,8 +110,8 @@ def by_key(
 ) -> DataFrame:
     """One row: overall rate, number of elevated groups, greatest rate and its key, risk level.
 
-    ``top_n`` is the length of the device report: the elevated groups are counted up to it,
-    and the greatest rate is 0 when no group is elevated.
+    All elevated groups are counted. ``top_n`` marks a report of the elevated groups only: its
+    greatest rate is 0 when no group is elevated.
     """
     critical, high, elevated = KEY_LEVELS[kind]
     groups, overall = _rates(df, key, label, min_rows)
@@ -122,8 +122,6 @@ def by_key(
         F.max("fraud_rate").alias("top_rate"),
     )
     n_high = F.col("high_risk_count")
-    if top_n:
-        found = found.withColumn("high_risk_count", F.least(n_high, F.lit(top_n)))
     rate = F.when(n_high > 0, F.col("top_rate")).otherwise(0.0) if top_n else F.col("top_rate")
     level = (
         F.when(n_high == 0, "LOW")

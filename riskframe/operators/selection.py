@@ -148,7 +148,7 @@ def check_ranking(metric: str, interpretability_weight: float, performance_weigh
     if metric not in PRIMARY_METRICS:
         raise ValueError(f"Invalid primary_metric: {metric}. Must be one of {list(PRIMARY_METRICS)}")
     if abs(interpretability_weight + performance_weight - 1.0) > 1e-6:
-        raise ValueError("interpretability_weight + performance_weight must equal 1.0")
+        raise ValueError("The two ranking weights must equal 1.0 together")
 
 
 def leaderboard(

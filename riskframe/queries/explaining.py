@@ -14,6 +14,7 @@ from riskframe.sources import canonical as C
 NAMES = (
     "time_since_signup", "amount", "device_score", "ip_country", "transaction_count_24h", "session_length",
     "hour_of_day", "purchase_value",
+    *[f"component_{j}" for j in range(8, C.DIMS)],
 )
 WEIGHTS = {name: (-1) ** j * (j + 1) / 8 for j, name in enumerate(NAMES)}
 BUILTIN = {name: 1 / (1 + (5 * j + 3) % 8) for j, name in enumerate(NAMES)}
@@ -21,7 +22,7 @@ TX_WEIGHTS = {"purchase_value": 0.02, "age": -0.01, "hours": 0.005}
 
 
 def _named(spark, d):
-    wide = C.wide_features(spark, d, len(NAMES))
+    wide = C.wide_features(spark, d)
     return wide.select("vec_id", *[F.col(f"f{j}").alias(name) for j, name in enumerate(NAMES)], "Class")
 
 

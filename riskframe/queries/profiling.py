@@ -108,7 +108,7 @@ def agg8_top_correlated(spark, d):
 
 
 def agg8_top_matrix(spark, d):
-    return rounded(profile.top_correlation_matrix(C.wide_features(spark, d, 16), [f"f{j}" for j in range(16)], "Class", 4))
+    return rounded(profile.top_correlation_matrix(C.wide_features(spark, d), [f"f{j}" for j in range(C.DIMS)], "Class", 4))
 
 
 def _corr_sql() -> str:
@@ -130,8 +130,8 @@ def _top_corr_sql() -> str:
 
 
 def _top_matrix_sql() -> str:
-    names = [f"f{j}" for j in range(16)]
-    cols = ", ".join(f"cast(embedding[{j + 1}] as double) as f{j}" for j in range(16))
+    names = [f"f{j}" for j in range(64)]
+    cols = ", ".join(f"cast(embedding[{j + 1}] as double) as f{j}" for j in range(64))
     cte = f'w as (select vec_id, {cols}, case when label = 0 then 1.0 else 0.0 end as "Class" from embeddings)'
     long = f'l as (unpivot w on {", ".join(names)}, "Class" into name feature value v)'
     label = 'y as (select vec_id, "Class" as yv from w)'
@@ -398,10 +398,9 @@ AMOUNT_SQL = (
 
 
 def by_key_sql(key: str, critical: float, high: float, min_rows: int = 0, top_n: int | None = None) -> str:
-    count = f"least(k, {top_n})" if top_n else "k"
     rate = "case when k > 0 then top_rate else 0.0 end" if top_n else "top_rate"
     return (
-        f"select o as overall_fraud_rate, cast({count} as bigint) as high_risk_count, {rate} as max_fraud_rate,"
+        f"select o as overall_fraud_rate, cast(k as bigint) as high_risk_count, {rate} as max_fraud_rate,"
         f" case when k = 0 then 'LOW' when top_rate > o * {critical} then 'CRITICAL' when top_rate > o * {high} then 'HIGH'"
         " else 'MODERATE' end as risk_level from (select max(o) as o, count(*) filter (r > o * 1.5) as k, max(r) as top_rate"
         f" from (select avg(class) as r, (select avg(class) from tx) as o from tx group by {key}"

@@ -22,7 +22,7 @@ from riskframe.queries.base import (
 from riskframe.sources import canonical as C
 
 HOURS = "round(date_diff('microsecond', signup_time, purchase_time) / 3600000000.0, 6)"
-DIMS = 8
+DIMS = C.DIMS
 DIM_NAMES = [f"f{j}" for j in range(DIMS)]
 
 
@@ -125,6 +125,17 @@ def win1_velocity(spark, d):
     return features.velocity(tx, windows=["1h", "24h", "7d", "30d"])
 
 
+def win1_velocity_hot(spark, d):
+    """Every user takes the way of users with very many rows."""
+    tx = C.transactions(spark, d).select("event_id", "user_id", "purchase_time")
+    return features.velocity(tx, windows=["1h", "24h", "7d", "30d"], max_group_rows=0)
+
+
+def win3_user_gaps_hot(spark, d):
+    tx = C.transactions(spark, d).select("event_id", "user_id", "purchase_time")
+    return rounded(features.user_gaps(tx, max_group_rows=0))
+
+
 def win2_velocity_before(spark, d):
     tx = C.transactions(spark, d).select("event_id", "user_id", "purchase_time")
     return features.velocity(tx, windows=["1h", "24h", "7d"], closed="left")
@@ -298,7 +309,7 @@ BANK_KEY = "l_orderkey || '|' || l_linenumber"
 
 def res1_smote(spark, d):
     """Class sizes after oversampling."""
-    df = C.wide_features(spark, d, DIMS)
+    df = C.wide_features(spark, d)
     grown = resample.smote(df, ["vec_id"], "Class", DIM_NAMES, 0.5)
     return grown.groupBy("Class", (F.col("copy") > 0).alias("synthetic")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -313,7 +324,7 @@ def res2_undersample(spark, d):
 
 
 def res3_smote_undersample(spark, d):
-    df = C.wide_features(spark, d, DIMS)
+    df = C.wide_features(spark, d)
     return rounded(resample.smote_undersample(df, ["vec_id"], "Class", DIM_NAMES, 0.3, 0.5))
 
 
@@ -469,6 +480,15 @@ QUERIES = {
             + " from tx",
         ),
     ),
+    "win1_velocity_hot": (
+        win1_velocity_hot,
+        with_ctes(
+            TX,
+            "select event_id, user_id, purchase_time, "
+            + _velocity_sql("user_id", "purchase_time", ["1h", "24h", "7d", "30d"], "both", "transaction_count_")
+            + " from tx",
+        ),
+    ),
     "win2_velocity_before": (
         win2_velocity_before,
         with_ctes(
@@ -490,6 +510,18 @@ QUERIES = {
             TX
             + """, g as (select event_id, user_id, purchase_time, coalesce(date_diff('microsecond',
   lag(purchase_time) over (partition by user_id order by purchase_time, event_id), purchase_time) / 3600000000.0, 0.0) as gap
+  from tx)""",
+            "select event_id, user_id, purchase_time, count(*) over (partition by user_id) as total_transactions_per_user,"
+            " round(gap, 6) as time_since_last_transaction,"
+            " round(avg(gap) over (partition by user_id), 6) as avg_time_between_transactions from g",
+        ),
+    ),
+    "win3_user_gaps_hot": (
+        win3_user_gaps_hot,
+        with_ctes(
+            TX
+            + """, g as (select event_id, user_id, purchase_time, coalesce(date_diff('microsecond',
+  lag(purchase_time) over (partition by user_id order by purchase_time, event_id), purchase_time) / 3600000000.0, 0.0) as gap
   from tx)""",
             "select event_id, user_id, purchase_time, count(*) over (partition by user_id) as total_transactions_per_user,"
             " round(gap, 6) as time_since_last_transaction,"

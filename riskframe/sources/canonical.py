@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import micros, uniform
 
+# Components of an embedding.
+DIMS = 64
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -93,10 +96,10 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def wide_features(spark: SparkSession, sf_dir: str, dims: int = 8) -> DataFrame:
-    """First ``dims`` embedding components as columns f0.. with ``Class`` = (label = 0)."""
+def wide_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embedding components as columns f0.. with ``Class`` = (label = 0)."""
     return table(spark, sf_dir, "embeddings").select(
         "vec_id",
-        *[F.col("embedding")[j].cast("double").alias(f"f{j}") for j in range(dims)],
+        *[F.col("embedding")[j].cast("double").alias(f"f{j}") for j in range(DIMS)],
         F.when(F.col("label") == 0, 1).otherwise(0).alias("Class"),
     )

@@ -13,7 +13,7 @@ FEATURES = [f"f{i}" for i in range(4)]
 
 @pytest.fixture(scope="module")
 def data(spark, sf):
-    return canonical.wide_features(spark, sf, 4).cache()
+    return canonical.wide_features(spark, sf).cache()
 
 
 def totals(phi):
