@@ -79,10 +79,10 @@ def test_key_levels(spark):
     assert risk.source(keyed(spark, mid), "k").first()["risk_level"] == "MODERATE"
 
 
-def test_device_report_length_limits_the_count(spark):
+def test_device_report_counts_all_risky_devices(spark):
     rates = {f"h{i}": 0.5 for i in range(5)} | {f"n{i}": 0.0 for i in range(15)}
     df = keyed(spark, rates)
-    assert risk.device(df, "k", top_n=3).first()["high_risk_count"] == 3
+    assert risk.device(df, "k", top_n=3).first()["high_risk_count"] == 5
     assert risk.key_groups(df, "k", min_rows=5, kind="device").count() == 5
 
 
