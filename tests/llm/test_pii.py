@@ -11,8 +11,8 @@ PATTERNS = {
 }
 CASES = [
     "a@b.co_x@d.ef mail me: bob (at) example.com", "1.2.3.4.5.6.7.8 999.1.1.1 1.2.3.4 001.2.3.0255", "call 555-123-4567 or (555) 123-4567",
-    "4111 1111 1111 1111 x 4111-1111-1111-1112 5" + " 1" * 20_000, "é😀 +49 (30) 1234-5678. " + "a" * 50_000 + "@" + "b.c" * 9000, None, "",
-    "card 3782 822463 10005, +1234567, +12345678901234567", "a" * 100_000, "9" * 100_000, "x@y @z a@b.c@d.e", "+1 (243) 555-5526, 97.51.17.173 u.1@m.com",
+    "4111 1111 1111 1111 x 4111-1111-1111-1112 5" + " 1" * 20_000, "é😀 +49 (30) 1234-5678. " + "a" * 3000 + "@" + "b.c" * 3000, None, "",
+    "card 3782 822463 10005, +1234567, +12345678901234567", "a" * 4000, "9" * 4000, "x@y @z a@b.c@d.e", "+1 (243) 555-5526, 97.51.17.173 u.1@m.com",
 ]
 
 
