@@ -6,32 +6,33 @@ is read at that cell shifted by k for coordinate k. So a shingle's values for al
 slice of the table, and a signature is the element-wise minimum of such slices.
 
 Equal sets fall together first, by an exact group-by on a 128-bit digest of the whole set. Signatures of the
-remaining distinct sets are cut into bands; sets that agree in a band share a bucket. In a bucket no pairs are
-listed: leaders are compared with the members that are not yet in the same component, verified on the full shingle
-sets, and then leave the bucket, until no bucket holds two components. A round starts with one leader per bucket and
-grows only while its pairs stay in proportion to the table. Every pair that shares a bucket is either in one
-component in the end or was compared.
+remaining distinct sets are cut into bands; sets that agree in a band share a bucket. No pairs of a bucket are listed:
+leaders are compared with the members outside their component (see ``leaders``), first by sketches of two bits per
+coordinate and then, where these agree well enough, on the full shingle sets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm import leaders
 from riskframe.llm.common import salted_join, stored, worker_store
-from riskframe.llm.components import components
 from riskframe.llm.textbytes import U, Words, blocks, mix, odd_constants, windows
 
 SHINGLE = 5
 BANDS = 32
 ROWS = 5
 RING_BITS = 20
-# Pairs that one round of comparisons may list, for each document row.
-PAIRS_PER_ROW = 4
+# Coordinates of a sketch, two bits of each.
+SKETCH = 768
+# A pair whose sketches disagree by this many standard deviations more than at the threshold is not verified.
+DEVIATIONS = 5.0
 # Lists of identifiers up to this size are broadcast; longer ones are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -98,6 +99,24 @@ def _sign(bands: int, rows: int, seed: int):
     return run
 
 
+def _sketch(seed: int):
+    """Task function: (doc_id, text) -> with two bits of each of SKETCH coordinates, 32 of them in a word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shifts = U(2) * np.arange(32, dtype=U)
+        for batch in batches:
+            words = []
+            for _, data, offsets in blocks(batch.column(1)):
+                for s in shingle_sets(data, offsets):
+                    values = signature(s, SKETCH, seed).astype(U) if len(s) else np.zeros(SKETCH, U)
+                    words.append(((values & U(3)).reshape(-1, 32) << shifts).sum(axis=1, dtype=U).view(np.int64))
+            flat = np.concatenate(words) if words else np.zeros(0, np.int64)
+            lists = np.arange(len(words) + 1, dtype=np.int32) * (SKETCH // 32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(lists), pa.array(flat))], ["doc_id", "text", "sketch"])
+
+    return run
+
+
 def _verify(percent: int):
     """Task function: (a, b, text_a, text_b) -> the pairs with 100 * intersection >= percent * union of full sets."""
 
@@ -135,7 +154,8 @@ def near_duplicates(
     * Null or blank text: no shingles, linked with nothing, its own component.
     * Null doc_id: the row stays, with null component and ``kept`` true; it links with nothing.
     * Rows that repeat a doc_id are one node: what any of them links to, all are joined with.
-    * A pair at the threshold shares no band with probability (1 - 0.85^rows)^bands, 7e-9 with the defaults.
+    * A pair at the threshold shares no band with probability (1 - 0.85^rows)^bands, 7e-9 with the defaults, and its
+      sketches differ too much for verification with probability 3e-7 (five standard deviations).
     * An empty table gives an empty table.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -154,63 +174,42 @@ def near_duplicates(
     bucketed = usable.join(leads, ["doc_id", *digest], "left_semi").select(
         F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")
     )
-    shared = bucketed.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("bucket")
-    members = stored(salted_join(bucketed, shared, ["bucket"], "left_semi"), "members")
+    members = leaders.shared_buckets(bucketed)
 
     # documents that repeat an id join the classes of their rows
     joined = of_class.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
     repeated = of_class.join(joined.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b"))
-    group = _merge(None, stored(repeated, "repeated"))
-    size = members.count()
-    if not size:
+    group = leaders.merge(None, stored(repeated, "repeated"))
+    if not members.limit(1).count():
         return _labelled(signed, of_class, group)
 
-    texts = stored(_only(docs, members.select("rep"), "wanted"), "texts")
-    budget = PAIRS_PER_ROW * signed.count()
-    checked = None
-    slots = 1
-    while True:
-        tagged = members.join(group.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("label", "rep")).drop("label")
-        open_ = tagged.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
-        tagged = stored(salted_join(tagged, open_, ["bucket"], "left_semi"), "open")
-        size = tagged.count()
-        if not size:
-            return _labelled(signed, of_class, group)
-        # four times the leaders in each round, as long as the pairs of a round stay within the budget
-        slots = max(1, min(slots, budget // size))
-        slot = F.pmod(F.xxhash64("rep", F.lit(slots)), F.lit(slots)) if slots > 1 else F.lit(0)
-        chosen = tagged.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("rep", "n", "comp")).alias("lead")).select("bucket", "lead.*")
-        chosen = stored(chosen.toDF("bucket", "lead", "lead_n", "lead_comp"), "leaders")
-        pairs = (
-            salted_join(tagged, chosen, ["bucket"], "inner")
-            .where("comp <> lead_comp and 100 * least(n, lead_n) >= %d * greatest(n, lead_n)" % percent)
-            .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b"))
-            .distinct()
-        )
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+    schema = "doc_id long, text string, sketch array<long>"
+    texts = stored(_only(docs, members.select("rep"), "wanted").select("doc_id", "text").mapInArrow(_sketch(seed), schema), "texts")
+    # rows that repeat an id with other texts have several sketches; any of them may lead to a pair
+    members = members.join(texts.select(F.col("doc_id").alias("rep"), "sketch"), "rep")
+
+    def verify(pairs: DataFrame) -> DataFrame:
         side = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
         other = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
         both = pairs.join(other, "b").join(side, "a").select("a", "b", "text_a", "text_b")
-        results = stored(both.mapInArrow(_verify(percent), "a long, b long, linked boolean"), "verified")
-        done = results.select("a", "b")
-        checked = done if checked is None else checked.union(done)
-        group = _merge(group, results.where("linked"))
-        leading = chosen.select("bucket", F.col("lead").alias("rep"))
-        members = tagged.select("rep", "n", "bucket").join(leading, ["bucket", "rep"], "left_anti")
-        slots *= 4
-
-
-def _merge(group: DataFrame | None, links: DataFrame) -> DataFrame:
-    """(node, label) after ``links`` (a, b) have joined the components of ``group``."""
-    if not links.limit(1).count():
-        return links.select(F.col("a").alias("node"), F.col("b").alias("label")).limit(0) if group is None else group
-    if group is None:
-        return components(links)
-    named = links.join(group.toDF("a", "la"), "a", "left").join(group.toDF("b", "lb"), "b", "left")
-    merged = components(named.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
-    renamed = group.join(merged.toDF("label", "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-    return stored(renamed.union(merged.join(group.select("node"), "node", "left_anti")), "groups")
+        return both.mapInArrow(_verify(percent), "a long, b long, linked boolean")
+
+    sized = F.expr(f"100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)")
+    group = leaders.grow(members, group, signed.count(), ["n", "sketch"], sized & _close(percent), verify)
+    return _labelled(signed, of_class, group)
+
+
+def _close(percent: int) -> Column:
+    """Whether two sketches disagree in few enough coordinates for the threshold."""
+    j = percent / 100
+    miss = (1 - j) * 3 / 4
+    most = math.floor(SKETCH * miss + DEVIATIONS * math.sqrt(SKETCH * miss * (1 - miss)))
+    odd = F.lit(0x5555555555555555).cast("long")
+    differ = F.lit(0)
+    for k in range(SKETCH // 32):
+        x = F.get("sketch", F.lit(k)).bitwiseXOR(F.get("lead_sketch", F.lit(k)))
+        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(odd))
+    return differ <= most
 
 
 def _labelled(signed: DataFrame, of_class: DataFrame, group: DataFrame) -> DataFrame:
