@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import stored
 
-# Training documents of one language, and the words and n-grams that the model keeps, at most.
+# Training documents of one language, and the words and n-grams of one language that the model keeps, at most.
 TRAIN_DOCS = 4_000
 MODEL_WORDS = 60_000
 MODEL_GRAMS = 120_000
 LONGEST = 5
-SMOOTH = 0.5
+# Units of the background, text of all languages together, that each language's counts are filled up with.
+BACKGROUND = 500.0
 # Words a task keeps the scores of.
 CACHE_WORDS = 400_000
 UNKNOWN = "und"
@@ -80,7 +81,9 @@ class Model:
 
 
 def _log_share(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    rate = (counts + SMOOTH) / (totals + SMOOTH * 1000)
+    """What a language has not seen is as frequent in it as in all languages together, so a small language claims nothing by being small."""
+    shared = counts.sum(axis=1, keepdims=True) / totals.sum()
+    rate = (counts + BACKGROUND * shared) / (totals + BACKGROUND)
     return np.log(rate / rate.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
@@ -96,21 +99,45 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, words: int = MODEL_WORD
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, train_docs / sizes[lang]))).otherwise(share)
     dealt = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     units = rows.where(dealt < share).select("lang", "text").mapInArrow(_count, "lang string, unit string, n long")
-    table = units.groupBy("unit").pivot("lang", langs).agg(F.sum("n")).na.fill(0)
-    table = stored(table.withColumn("total", sum((F.col(f"`{lang}`") for lang in langs), F.lit(0))).where("total > 1"), "units")
-    is_word = F.col("unit").startswith("w")
-    kept = [table.where(c).orderBy(F.desc("total"), "unit").limit(n).toPandas() for c, n in ((is_word, words), (~is_word, grams))]
-    totals = {k: np.array([r[lang] for lang in langs], float) for k in "w12345" for r in [table.where(F.col("unit").startswith(k)).agg(*[F.coalesce(F.sum(f"`{lang}`"), F.lit(0)).alias(lang) for lang in langs]).first()]}
+    table = stored(units.groupBy("unit").pivot("lang", langs).agg(F.sum("n")).na.fill(0), "units")
+    mark = F.substring("unit", 1, 1)
+    sums = {r["mark"]: r for r in table.groupBy(mark.alias("mark")).agg(*[F.sum(f"`{lang}`").alias(lang) for lang in langs]).collect()}
+    # a language without a word has nothing to be told by
+    langs = [lang for lang in langs if "w" in sums and sums["w"][lang]]
+    if not langs:
+        return Model([], {})
+    totals = {k: np.array([r[lang] for lang in langs], float) for k, r in sums.items()}
+    least = _least(table, langs, words, grams)
+    wanted = F.lit(False)
+    for lang in langs:
+        wanted = wanted | (F.col(f"`{lang}`") >= F.when(mark == "w", F.lit(least[lang, True])).otherwise(F.lit(least[lang, False])))
+    frame = table.where(wanted).orderBy("unit").toPandas()
     known: dict[str, np.ndarray] = {}
-    for frame in kept:
-        marks = frame["unit"].str[0]
-        for k in totals:
-            some = frame[marks == k]
-            if len(some):
-                known.update(zip(some["unit"], _log_share(some[langs].to_numpy(float), totals[k]), strict=True))
+    marks = frame["unit"].str[0]
+    for k in totals:
+        some = frame[marks == k]
+        if len(some):
+            known.update(zip(some["unit"], _log_share(some[langs].to_numpy(float), totals[k]), strict=True))
     return Model(langs, known)
 
 
+def _least(table: DataFrame, langs: list[str], words: int, grams: int) -> dict[tuple[str, bool], int]:
+    """(language, of words) -> the count that a unit needs to be among the most frequent ``words`` or ``grams`` of the language.
+
+    Units that are equally frequent in a language stay or go together.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(lang).alias("lang"), F.col(f"`{lang}`").alias("n")) for lang in langs])).alias("cell")
+    cells = table.select(F.col("unit").startswith("w").alias("is_word"), cells).select("is_word", "cell.*").where("n > 0")
+    least = {(lang, is_word): 1 for lang in langs for is_word in (True, False)}
+    above: Counter = Counter()
+    for r in cells.groupBy("lang", "is_word", "n").count().orderBy(F.desc("n")).collect():
+        key = (r["lang"], r["is_word"])
+        above[key] += r["count"]
+        if above[key] > (words if r["is_word"] else grams):
+            least[key] = max(least[key], r["n"] + 1)
+    return least
+
+
 class _Scores(dict):
     """Word -> its row in a growing table of scores."""
 

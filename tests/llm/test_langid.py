@@ -55,6 +55,28 @@ def test_hard_rows(spark):
     assert {r["doc_id"] for r in kept.collect()}.isdisjoint({1000, 1001, 1002})
 
 
+def test_a_tiny_language_takes_no_documents_of_others(spark):
+    rows = corpus()
+    base = max(r[0] for r in rows) + 1
+    free = next(i for i in range(base, base + 100) if zlib.crc32(str(i).encode()) % 4 != 2)
+    for text in ("zorp blik", "zorp blik the cat house wub wub"):
+        got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame(spark, [*rows, (free, text, "xx")])).collect()}
+        assert all(got[i] == lang for i, _, lang in rows)
+        # and keeps its own
+        assert got[free] == "xx"
+    # words that the others have seldom
+    rare = [(i, f"{t} {'seldom' if lang == 'en' else 'selten'}{i}", lang) for i, t, lang in rows]
+    model = langid.train(frame(spark, [*rare, (free, "zorp", "xx")]))
+    got = langid.predict(frame(spark, rare), model, ["doc_id", "lang"]).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got)
+
+
+def test_units_are_chosen_per_language(spark):
+    model = langid.train(frame(spark, [*corpus(), (5000, "zorp blik", "xx")]), words=3, grams=30)
+    assert {"wzorp", "wblik"} <= set(model.known)
+    assert langid.train(frame(spark, [*corpus(), (5000, "12", "xx")])).langs == ["de", "en", "fr"]
+
+
 def test_no_labels_and_no_rows(spark):
     got = langid.identify(frame(spark, [(1, "the cat", None)])).collect()
     assert got[0]["lang_pred"] == "und"
