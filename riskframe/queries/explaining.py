@@ -83,18 +83,18 @@ def exp3_tree_phi_adds_up(spark, d):
 
 def exp4_sampled_phi(spark, d):
     """Sampled attributions of every embedding row."""
-    names = list(NAMES[:4])
+    names = list(NAMES)
     data = _named(spark, d)
     model = models.train(data, "logistic_regression", names, "Class")
-    return attribution.sampled_phi(model, data, ["vec_id"], names, data, n_permutations=5, n_background=50)
+    return attribution.sampled_phi(model, data, ["vec_id"], names, data)
 
 
 def exp4_sampled_phi_adds_up(spark, d):
     """Rows explained, and rows whose base value plus attributions differ from the score."""
-    names = list(NAMES[:4])
+    names = list(NAMES)
     data = _named(spark, d)
     model = models.train(data, "logistic_regression", names, "Class")
-    phi = attribution.sampled_phi(model, data, ["vec_id"], names, data, n_permutations=3, n_background=50)
+    phi = attribution.sampled_phi(model, data, ["vec_id"], names, data)
     total = phi.groupBy("vec_id").agg((F.sum("phi") + F.max("base_value")).alias("total"))
     both = models.predict(model, data).join(total, "vec_id")
     return both.agg(
