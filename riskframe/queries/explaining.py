@@ -46,7 +46,7 @@ def _tx_phi(spark, d):
 
 
 def exp1_importance(spark, d):
-    model = models.train(model_table(spark, d), "random_forest", TX_FEATURES, n_estimators=5, max_depth=5)
+    model = models.train(model_table(spark, d), "random_forest", TX_FEATURES)
     return explain.importance(model, TX_FEATURES)
 
 
@@ -65,14 +65,14 @@ def exp2_linear_phi_transactions(spark, d):
 
 def exp3_tree_phi(spark, d):
     data = model_table(spark, d)
-    model = models.train(data, "random_forest", TX_FEATURES, n_estimators=5, max_depth=5)
+    model = models.train(data, "random_forest", TX_FEATURES)
     return attribution.tree_phi(model, data, ["event_id"], TX_FEATURES)
 
 
 def exp3_tree_phi_adds_up(spark, d):
     """Rows explained, and rows whose base value plus attributions differ from the score."""
     data = model_table(spark, d)
-    model = models.train(data, "random_forest", TX_FEATURES, n_estimators=5, max_depth=5)
+    model = models.train(data, "random_forest", TX_FEATURES)
     phi = attribution.tree_phi(model, data, ["event_id"], TX_FEATURES)
     total = phi.groupBy("event_id").agg((F.sum("phi") + F.max("base_value")).alias("total"))
     both = models.predict(model, data).join(total, "event_id")
@@ -147,7 +147,7 @@ def exp12_priority_counts(spark, d):
 
 def exp13_interpretation(spark, d):
     data = model_table(spark, d)
-    model = models.train(data, "random_forest", TX_FEATURES, n_estimators=5, max_depth=5)
+    model = models.train(data, "random_forest", TX_FEATURES)
     phi = attribution.tree_phi(model, data, ["event_id"], TX_FEATURES)
     return explain.interpretation(explain.importance(model, TX_FEATURES), phi).rules
 

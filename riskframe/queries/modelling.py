@@ -253,34 +253,29 @@ def mod1_logistic_regression(spark, d):
 
 
 def mod2_random_forest(spark, d):
-    return _fit_and_score(spark, d, "random_forest", n_estimators=10, max_depth=6).metrics
+    return _fit_and_score(spark, d, "random_forest").metrics
 
 
 def mod3_gradient_boosting(spark, d):
-    return _fit_and_score(spark, d, "xgboost", n_estimators=5, max_depth=4).metrics
+    return _fit_and_score(spark, d, "xgboost").metrics
 
 
 def mod5_predict(spark, d):
     data = model_table(spark, d)
-    model = models.train(data, "random_forest", TX_FEATURES, n_estimators=5, max_depth=5)
+    model = models.train(data, "random_forest", TX_FEATURES)
     return models.predict(model, data).select("event_id", "prediction", "score")
 
 
 def mod7_cross_validate(spark, d):
-    return selection.cross_validate(model_table(spark, d), ["event_id"], "logistic_regression", TX_FEATURES, n_folds=3).summary
+    return selection.cross_validate(model_table(spark, d), ["event_id"], "logistic_regression", TX_FEATURES).summary
 
 
 def mod8_tune(spark, d):
-    grid = {"n_estimators": [5], "max_depth": [3, 6]}
-    return selection.tune(model_table(spark, d), ["event_id"], "random_forest", TX_FEATURES, grid=grid, cv=3).candidates
+    return selection.tune(model_table(spark, d), ["event_id"], "random_forest", TX_FEATURES).candidates
 
 
 def mod11_compare(spark, d):
-    candidates = (
-        comparison.Candidate("Logistic Regression", "logistic_regression", "baseline", 1.0, {}),
-        comparison.Candidate("Random Forest", "random_forest", "random_forest", 0.6, {"n_estimators": 5, "max_depth": 5}),
-    )
-    result = comparison.train_and_compare(C.transactions(spark, d), ["event_id"], candidates=candidates, n_folds=2)
+    result = comparison.train_and_compare(C.transactions(spark, d), ["event_id"])
     comparison.save_json_summary(result, f"{work_dir(spark)}/{etl.run_name()}", "ecommerce")
     return result.board
 
@@ -288,7 +283,7 @@ def mod11_compare(spark, d):
 def mod12_save_and_load(spark, d):
     """Rows scored, and rows whose score changes after the model is stored and read back."""
     data = model_table(spark, d)
-    model = models.train(data, "random_forest", TX_FEATURES, n_estimators=5, max_depth=5)
+    model = models.train(data, "random_forest", TX_FEATURES)
     path = f"{work_dir(spark)}/{etl.run_name()}/model"
     models.save_model(model, path)
     again = models.predict(models.load_model(path), data).select("event_id", F.col("score").alias("again"))
