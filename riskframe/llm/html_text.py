@@ -31,18 +31,24 @@ _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>?", re.I) for t in ("script",
 # Element names by what they mean for the text.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-_OUTSIDE = frozenset("nav header footer aside form button select option menu dialog head script style noscript template svg iframe object canvas figure textarea title".split())
+_OUTSIDE = frozenset("nav header footer aside form button select option menu head script style noscript template svg iframe canvas textarea title".split())
 _MARKED = ("article", "main")
-# Words in a class, id or role that name what is no part of an article.
-_OUTSIDE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:nav(?:bar|igation)?|menu|header|masthead|footer|sidebar|side|aside|ad|ads|advert(?:isement)?|advertising|sponsor(?:ed)?|promo|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|comments?|comment-list|disqus|replies|share|social|related|breadcrumbs?|pagination|pager|widget|complementary|contentinfo|search|login|toolbar|skip)(?:$|[\s_-])",
-    re.I,
-)
+# Names in a class, id or role of what is no part of an article: whole names, whose parts may be joined with each other
+# and with words of place ("site-footer", "cookie-notice"; not "has-sidebar", "search-engine").
+_COMMENTS = r"comments?|disqus|replies"
+_OUTSIDE_WORD = rf"(?:nav(?:bar|igation)?|menu|header|masthead|footer|sidebar|side|aside|ad|ads|advert(?:isement)?|advertising|sponsor(?:ed)?|promo|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|{_COMMENTS}|share|social|related|breadcrumbs?|pagination|pager|widget|complementary|contentinfo|search|login|toolbar|skip)"
+_PLACE = r"(?:site|main|left|right|top|bottom|primary|secondary|global|list|links?|buttons?|box|bar)"
+_OUTSIDE_NAME = re.compile(rf"(?<!\S)(?:{_PLACE}[_-]+)*{_OUTSIDE_WORD}(?:[_-]+(?:{_OUTSIDE_WORD}|{_PLACE}))*(?!\S)", re.I)
+_COMMENT_NAME = re.compile(rf"(?<![^\s_-])(?:{_COMMENTS})(?![^\s_-])", re.I)
+# For Spark: pages that may have a marked article.
+_HAS_MARK = r"(?i)<(article|main)[\s/>]"
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
-def _named_outside(attributes: str) -> bool:
-    return any(_OUTSIDE_NAME.search(a or b or c) for a, b, c in _NAMES.findall(attributes))
+def _named_outside(attributes: str) -> str:
+    """The first name that leads outside, or an empty text."""
+    found = (_OUTSIDE_NAME.search(a or b or c) for a, b, c in _NAMES.findall(attributes))
+    return next((m[0] for m in found if m), "")
 
 
 # An item is (kind of token, number of words or 1 for a tag, text or None for a tag, is part of an article, breaks a block, in a marked article)
@@ -52,25 +58,30 @@ Item = tuple[str, int, str | None, bool, bool, bool]
 def items(page: str) -> list[Item]:
     """Tokens of a page in order; the words of one stretch of text are one item."""
     out: list[Item] = []
-    open_: list[tuple[str, bool, int]] = []  # (tag, leads outside, place of the innermost block from here)
+    open_: list[tuple[str, int | None, int]] = []  # (tag, change of ``named``, or None where the element leads outside for good, place of the innermost block from here)
     depth: Counter = Counter()
-    outside = marked = 0
+    # elements around that lead outside; those that do so by their name give way to a marked article in them
+    outside = named = marked = 0
     at = 0
 
     def close() -> str:
-        nonlocal outside, marked
-        t, leads, _ = open_.pop()
+        nonlocal outside, named, marked
+        t, change, _ = open_.pop()
         depth[t] -= 1
-        outside -= leads
+        if change is None:
+            outside -= 1
+        else:
+            named -= change
         marked -= t in _MARKED
         return t
 
     def text(raw: str) -> None:
         words = len(raw.split())
         around = "a" if depth["a"] else open_[open_[-1][2]][0] if open_ and open_[-1][2] >= 0 else ""
-        kind = "word" if not outside else "outside word"
+        inside = not outside and not named
+        kind = "word" if inside else "outside word"
         if words or raw:
-            out.append((f"{kind} {around}", words, raw, not outside, False, marked > 0))
+            out.append((f"{kind} {around}", words, raw, inside, False, marked > 0))
 
     while at < len(page):
         m = _TOKEN.search(page, at)
@@ -104,7 +115,7 @@ def items(page: str) -> list[Item]:
                 t = close()
                 if t == tag:
                     break
-            out.append((f"tag /{tag}", 1, None, not outside, tag not in _INLINE, marked > 0 or tag in _MARKED))
+            out.append((f"tag /{tag}", 1, None, not outside and not named, tag not in _INLINE, marked > 0 or tag in _MARKED))
             continue
         if tag in ("p", "li") and depth[tag]:
             # an open one ends where the next begins, unless another block lies between
@@ -114,15 +125,21 @@ def items(page: str) -> list[Item]:
             if above >= 0 and open_[above][0] == tag:
                 while close() != tag:
                     pass
-        leads = tag in _OUTSIDE or (tag not in ("html", "body", *_MARKED) and _named_outside(attributes))
-        if tag == "header" and marked:
-            leads = _named_outside(attributes)
+        change = None
+        if tag not in _OUTSIDE or (tag == "header" and marked):
+            name = "" if tag in ("html", "body", *_MARKED) else _named_outside(attributes)
+            if not _COMMENT_NAME.search(name):
+                # the outermost article is one whatever is around it is called
+                change = 1 if name else -named if tag in _MARKED and not marked else 0
         if tag not in _VOID and not attributes.endswith("/"):
-            open_.append((tag, leads, len(open_) if tag not in _INLINE else open_[-1][2] if open_ else -1))
+            open_.append((tag, change, len(open_) if tag not in _INLINE else open_[-1][2] if open_ else -1))
             depth[tag] += 1
-            outside += leads
+            if change is None:
+                outside += 1
+            else:
+                named += change
             marked += tag in _MARKED
-        out.append((f"tag {tag}", 1, None, not outside, tag not in _INLINE, marked > 0))
+        out.append((f"tag {tag}", 1, None, not outside and not named, tag not in _INLINE, marked > 0))
     return out
 
 
@@ -176,7 +193,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(pages: DataFrame, train_pages: int = TRAIN_PAGES, seed: int = 2) -> dict[str, float]:
-    """Weight of each token kind, from about ``train_pages`` seeded pages at most; kinds seen fewer than five times get none."""
+    """Weight of each token kind, from about ``train_pages`` seeded pages with a mark at most; kinds seen fewer than five times get none."""
+    pages = pages.where(F.col("html").cast("string").rlike(_HAS_MARK))
     rows = pages.count()
     share = min(1.0, train_pages / max(1, rows))
     dealt = F.pmod(F.xxhash64("page_id", F.lit(seed)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))

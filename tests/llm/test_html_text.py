@@ -30,6 +30,37 @@ def test_what_is_no_article_goes(spark, sf):
     assert html_text.main_text(PAGE, weights) == want
 
 
+WORDS = "Some running text of an article with quite a few words in it to be read."
+WRAPPERS = [
+    "<div class='content-sidebar-wrap'>{}</div>", "<div class='site has-sidebar'>{}</div>", "<div class=no-sidebar>{}</div>",
+    "<div class='main-menu-open'>{}</div>", "<section id='social-impact'>{}</section>", "<section class='search-engine'>{}</section>",
+    "<figure><img><figcaption>{}</figcaption></figure>", "<object>{}</object>", "<dialog open>{}</dialog>",
+]
+
+
+def test_wrappers_of_text_stay():
+    for wrapper in WRAPPERS:
+        assert html_text.main_text(wrapper.format(f"<p>{WORDS}</p>"), {}) == WORDS, wrapper
+        assert html_text.main_text(f"<article>{wrapper.format(WORDS)}</article>", {}) == WORDS, wrapper
+
+
+def test_an_article_in_a_named_element_is_one():
+    for tag in ("article", "main"):
+        page = f"<div class=widget><{tag}><p>{WORDS}<div class=ad>Buy</div></{tag}><p>Outside again</div>"
+        assert html_text.main_text(page, {}) == WORDS
+    # a comment is none, nor what a menu inside an article holds
+    assert html_text.main_text(f"<div id=comments><article>{WORDS}</article></div>", {}) == ""
+    assert html_text.main_text(f"<main>{WORDS}<div class=related><article>More</article></div></main>", {}) == WORDS
+    for name in ("site-footer", "cookie-notice", "left_sidebar", "x comment-list"):
+        assert html_text.main_text(f"<div class='{name}'>{WORDS}</div>", {}) == ""
+
+
+def test_weights_come_from_marked_pages_however_rare(spark):
+    page = f"<nav>Home</nav><article>{'<p>' + WORDS}</article>" * 5
+    rows = [(i, "u", page if i == 7 else "<p>no mark", "t", "n") for i in range(500)]
+    assert html_text.learn(spark.createDataFrame(rows, SCHEMA), train_pages=5)["word p"] > 0
+
+
 def test_best_run():
     assert html_text.best_run([1, -3, 2, 2, -1, 3, -9, 4]) == (2, 6)
     assert html_text.best_run([-1, 0, -2]) == (0, 0) and html_text.best_run([]) == (0, 0)
