@@ -100,19 +100,23 @@ def _sign(bands: int, rows: int, seed: int):
 
 
 def _sketch(seed: int):
-    """Task function: (doc_id, text) -> with two bits of each of SKETCH coordinates, 32 of them in a word."""
+    """Task function: (doc_id, text) -> with set size, digest, and two bits of each of SKETCH coordinates, 32 of them in a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shifts = U(2) * np.arange(32, dtype=U)
         for batch in batches:
-            words = []
+            words, sizes, d1, d2 = [], [], [], []
             for _, data, offsets in blocks(batch.column(1)):
                 for s in shingle_sets(data, offsets):
+                    sizes.append(len(s))
+                    d1.append(mix(s, 21).sum(dtype=U))
+                    d2.append(mix(s, 22).sum(dtype=U))
                     values = signature(s, SKETCH, seed).astype(U) if len(s) else np.zeros(SKETCH, U)
                     words.append(((values & U(3)).reshape(-1, 32) << shifts).sum(axis=1, dtype=U).view(np.int64))
             flat = np.concatenate(words) if words else np.zeros(0, np.int64)
             lists = np.arange(len(words) + 1, dtype=np.int32) * (SKETCH // 32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(lists), pa.array(flat))], ["doc_id", "text", "sketch"])
+            digest = [pa.array(np.array(sizes, np.int64)), *[pa.array(np.array(d, U).view(np.int64)) for d in (d1, d2)]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *digest, pa.ListArray.from_arrays(pa.array(lists), pa.array(flat))], ["doc_id", "text", "n_shingles", "d1", "d2", "sketch"])
 
     return run
 
@@ -164,33 +168,41 @@ def near_duplicates(
     )
     usable = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     digest = ["n_shingles", "d1", "d2"]
-    classes = usable.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).where("rep < last").drop("last")
-    # one row per document row: the smallest document with the same set
+    # each distinct set is a node with a number of its own, whatever ids its rows have
+    sets = usable.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
+    sets = stored(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
+    # one row per document row: its set and the smallest document with the same set
+    copied = salted_join(usable.select("doc_id", *digest), sets.where("rep < last").select(*digest, "rep", "node"), digest)
+    alone = sets.where("rep = last").select(F.col("rep").alias("doc_id"), *digest, F.col("node").alias("own"))
     of_class = stored(
-        salted_join(usable.select("doc_id", *digest), classes, digest).select("doc_id", F.coalesce("rep", "doc_id").alias("rep"), *digest),
+        copied.join(alone, ["doc_id", *digest], "left").select(
+            "doc_id", F.coalesce("node", "own").alias("node"), F.coalesce("rep", "doc_id").alias("rep"), *digest
+        ),
         "classes",
     )
-    leads = of_class.where(F.col("doc_id") == F.col("rep")).select("doc_id", *digest).distinct()
-    bucketed = usable.join(leads, ["doc_id", *digest], "left_semi").select(
-        F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")
+    leads = sets.select(F.col("rep").alias("doc_id"), *digest, "node")
+    bucketed = usable.join(leads, ["doc_id", *digest]).dropDuplicates(["doc_id", *digest]).select(
+        F.col("node").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")
     )
     members = leaders.shared_buckets(bucketed)
 
-    # documents that repeat an id join the classes of their rows
-    joined = of_class.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
-    repeated = of_class.join(joined.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b"))
+    # the sets of rows that repeat an id join
+    joined = of_class.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
+    repeated = of_class.join(joined.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b")).distinct()
     group = leaders.merge(None, stored(repeated, "repeated"))
     if not members.limit(1).count():
         return _labelled(signed, of_class, group)
 
-    schema = "doc_id long, text string, sketch array<long>"
-    texts = stored(_only(docs, members.select("rep"), "wanted").select("doc_id", "text").mapInArrow(_sketch(seed), schema), "texts")
-    # rows that repeat an id with other texts have several sketches; any of them may lead to a pair
-    members = members.join(texts.select(F.col("doc_id").alias("rep"), "sketch"), "rep")
+    schema = "doc_id long, text string, n_shingles long, d1 long, d2 long, sketch array<long>"
+    wanted = leads.join(members.select(F.col("rep").alias("node")).distinct(), "node", "left_semi")
+    texts = _only(docs, wanted.select("doc_id"), "wanted").select("doc_id", "text").mapInArrow(_sketch(seed), schema)
+    texts = texts.join(wanted, ["doc_id", *digest]).dropDuplicates(["doc_id", *digest]).select("node", "text", "sketch")
+    texts = stored(texts, "texts")
+    members = members.join(texts.select(F.col("node").alias("rep"), "sketch"), "rep")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        side = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-        other = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+        side = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+        other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         both = pairs.join(other, "b").join(side, "a").select("a", "b", "text_a", "text_b")
         return both.mapInArrow(_verify(percent), "a long, b long, linked boolean")
 
@@ -214,9 +226,10 @@ def _close(percent: int) -> Column:
 
 def _labelled(signed: DataFrame, of_class: DataFrame, group: DataFrame) -> DataFrame:
     """Every document row with the label of its class; the smallest document of a group carries its name."""
-    reps = salted_join(of_class.select("doc_id", "rep"), group.toDF("rep", "label"), ["rep"]).select(
-        "doc_id", F.coalesce("label", "rep").alias("component_id")
-    )
+    reps = salted_join(of_class.select("doc_id", "node"), group.toDF("node", "label"), ["node"])
+    reps = reps.select("doc_id", F.coalesce("label", "node").alias("label"))
+    names = reps.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    reps = salted_join(reps, names, ["label"])
     reps = reps.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     out = signed.select("doc_id", "n_shingles").join(reps, "doc_id", "left")
     return out.select(

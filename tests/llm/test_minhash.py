@@ -75,6 +75,20 @@ def test_repeated_and_null_ids(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "4", "7", "None"]
 
 
+def test_different_texts_under_one_id(spark):
+    """Each text of a repeated id has near copies of its own, and all must be found."""
+    rng = random.Random(5)
+    rows = []
+    for k in range(20):
+        for _ in range(3):
+            a, b, c = family(rng, [f"w{rng.randrange(5000)}" for _ in range(200)], 3, 2)
+            rows += [(10 * k, a), (10 * k + 1 + len(rows) % 3, b), (10_000 + len(rows), c)]
+    got = minhash.near_duplicates(spark.createDataFrame([(*r, 1, "s") for r in rows], SCHEMA), 85).collect()
+    assert len(got) == len(rows)
+    want = brute(rows, 85)
+    assert all(r["component_id"] == want[r["doc_id"]] for r in got)
+
+
 def test_no_rows(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
