@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import fingerprint, html_text, langid, minhash, mixing, packing, pii, quality_model, quality_rules, warc
+from riskframe.llm import fim, fingerprint, html_text, langid, merkle, minhash, mixing, packing, pii, quality_model, quality_rules, recompress, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "anomaly")
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform(_table(spark, sf_dir, "documents")))
+
+
+def op12_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.digests(recompress.remove_repeats(_table(spark, sf_dir, "documents")))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_mixing": op2_mixing,
@@ -77,11 +89,17 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_html_text": op9_html_text,
     "op10_quality_rules": op10_quality_rules,
+    "op11_fim": op11_fim,
+    "op12_recompression": op12_recompression,
+    "op13_merkle": op13_merkle,
 }
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.SQL,
     "op5_warc": warc.SQL,
+    "op11_fim": fim.SQL,
+    "op12_recompression": recompress.SQL,
+    "op13_merkle": merkle.SQL,
 }
 
 
