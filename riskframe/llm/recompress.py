@@ -10,16 +10,18 @@ symbol is there. Whoever has these words has the symbol, at the same place.
 A window of ``WINDOW`` words is filed under one of the symbols of the highest round whose certificates lie inside the
 window, the one of smallest name. Certificates are decided by the words inside them, so equal windows are filed under the same symbol at the same
 offset, whatever stands around them; the words themselves are symbols of round 0, so every window is filed, inside
-long runs too. Consecutive windows under one symbol make a *file*: a row (symbol, digest of its words, id).
-
-1. Symbols that occur under one id only are left out: no window filed there repeats.
-2. Files with the same symbol and digest hold the same windows: all but those of the smallest id are removed.
-3. Where a symbol has several digests, files differ around the symbol but may share windows (a passage among different
-   neighbours, an edited copy). One file per digest, that of the smallest id, then lists a 128-bit name per window,
-   and windows equal by it are settled in the same way.
+long runs too. Consecutive windows under one symbol and in one range of offsets to it make a *file*: a row (name, digest,
+id). The name stands for the symbol, the range and the words that all windows of that range have in common, the digest
+for all words of the file.
+
+1. Names that occur under one id only are left out: no window filed there repeats.
+2. Files with the same name and digest hold the same windows: all but those of the smallest id are removed.
+3. Where a name has several digests, files differ at their ends but may share windows (the borders of a passage, or of an
+   edit in a copy). One file per digest, that of the smallest id, then lists a 128-bit name per window, and windows
+   equal by it are settled in the same way.
 4. Texts are parsed again beside what was settled for their id, and the words of settled windows go.
 
-Every step joins rows to a count over (symbol), (symbol, digest) or window names. Counts combine before the shuffle;
+Every step joins rows to a count over (name), (name, digest) or window names. Counts combine before the shuffle;
 rows carry one of ``SALTS`` salts of their id, and a count is copied only to the salts that occur in it, so a passage in
 a third of all documents is spread over tasks on both sides and no copies are made for rare ones.
 
@@ -45,6 +47,8 @@ from riskframe.llm.textbytes import U, Words, mix, windows
 WINDOW = 50
 # Symbols of the last round join four words on average: a window holds several, and neighbouring windows share the least.
 ROUNDS = 5
+# Windows under one symbol are parted by their offset to it, into ranges of ``width // BUCKETS``.
+BUCKETS = 4
 _PAIR = U(0x9FB21C651E98DF25)
 _RUN = U(0xD6E8FEB86659FD93)
 
@@ -181,20 +185,24 @@ class Block:
         self.owner = np.repeat(np.arange(texts), windows_of)
         within = np.arange(len(self.owner)) - np.repeat(np.cumsum(windows_of) - windows_of, windows_of)
         self.first = text.first[:-1][self.owner] + self.owner + 1 + within
+        self.file = self.name = self.digest = self.file_owner = np.zeros(0, np.int64)
         if not len(self.first):
-            self.file = np.zeros(0, np.int64)
-            self.name, self.digest, self.file_owner = np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int64)
             return
         name, start = filed(self.words, self.separator, self.first, width)
-        new = np.ones(len(name), bool)
-        new[1:] = (start[1:] != start[:-1]) | (name[1:] != name[:-1]) | (self.owner[1:] != self.owner[:-1])
+        bucket = max(1, width // BUCKETS)
+        offset = (start - self.first) // bucket
+        new = np.zeros(len(name), bool)
+        new[0] = True
+        for c in (start, name, self.owner, offset):
+            new[1:] |= c[1:] != c[:-1]
         self.file = np.cumsum(new) - 1
         opens = np.flatnonzero(new)
         windows_in = np.diff(np.append(opens, len(new)))
-        self.name, self.file_owner = name[opens], self.owner[opens]
-        begin = self.first[opens]
+        begin, core, self.file_owner = self.first[opens], (start - offset * bucket)[opens], self.owner[opens]
+        within_all = self._span_hash(core, core + width - bucket + 1)
+        self.name = mix(name[opens] * _PAIR + within_all + U(3) * offset[opens].astype(U), 4)
         span = self._span_hash(begin, begin + windows_in + width - 1)
-        self.digest = mix(span + U(3) * (start[opens] - begin).astype(U) + (windows_in.astype(U) << U(40)), 5)
+        self.digest = mix(span + U(3) * (core - begin).astype(U) + (windows_in.astype(U) << U(40)), 5)
 
     def _span_hash(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         power, unpower = textbytes._powers(len(self.words) + 1)
@@ -312,6 +320,8 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
     """
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(ABSENT)).alias("doc")
     texts = docs.select(F.col(id_col).alias("doc_id"), doc, F.col(text_col).cast("string").alias("text"))
+    # The two steps that need texts beside what is known of their id share this one exchange.
+    by_id = texts.repartition("doc")
     files = _files(texts.select("doc", "text"), width)
     names = _dealt(_counted(files, ["name"]).where("least < most").select("name", "salts"))
     shared = stored(files.join(names, ["name", "salt"]), "files")
@@ -323,7 +333,7 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
     )
     seen = stored(seen.where("settled or several"), "seen")
     opened = seen.where("not settled").groupBy("doc").agg(F.collect_set("digest").alias("open"))
-    listed = stored(_listed(texts.select("doc", "text").join(opened, "doc"), width), "windows")
+    listed = _listed(by_id.join(stored(opened, "open"), "doc"), width)
     twice = _dealt(_counted(listed, ["w1", "w2"]).where("least < most"))
     repeated = listed.join(twice, ["w1", "w2", "salt"]).where("least < doc").select("doc", F.col("w1").alias("digest"), F.lit(True).alias("window"))
     marks = seen.where("settled").select("doc", "digest", F.lit(False).alias("window")).unionByName(repeated)
@@ -349,7 +359,7 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
                 arrays = [ids, pa.array(block.count.astype(np.int64)), pa.array(removed.astype(np.int64)), pa.array(kept, pa.binary()).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "n_removed", "kept"])
 
-    beside = texts.join(marks, "doc", "left").select("doc_id", "text", "files", "windows")
+    beside = by_id.join(marks, "doc", "left").select("doc_id", "text", "files", "windows")
     return beside.mapInArrow(run, f"doc_id {id_type}, n_words long, n_removed long, kept string")
 
 
