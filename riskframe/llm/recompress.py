@@ -126,7 +126,7 @@ class Parse:
 
 
 def rounds(words: np.ndarray, separator: np.ndarray) -> Iterator[Parse]:
-    """The parse before the first round and after each round. (The same object, changed.)"""
+    """The parse before the first round and after each round (the same object, whose arrays are replaced)."""
     parse = Parse(words, separator)
     yield parse
     for r in range(1, ROUNDS + 1):
@@ -144,27 +144,29 @@ def filed(words: np.ndarray, separator: np.ndarray, first: np.ndarray, width: in
     name, start = np.zeros(len(first), U), np.zeros(len(first), np.int64)
     if not len(first):
         return name, start
-    for parse in rounds(words, separator):
+    parses = [(p.name, p.start, p.low, p.high) for p in rounds(words, separator)]
+    left = np.arange(len(first))
+    for symbol, begin, low, high in reversed(parses):
         # Certificates ascend by both ends, so those inside a window are neighbours.
-        a = np.searchsorted(parse.low, first)
-        count = np.searchsorted(parse.high, first + width, "right") - a
-        enough = np.flatnonzero(count > 0)
-        if not len(enough):
-            break
-        a, count = a[enough], count[enough]
+        a = np.searchsorted(low, first[left])
+        count = np.searchsorted(high, first[left] + width, "right") - a
+        has = count > 0
+        now, left, a, count = left[has], left[~has], a[has], count[has]
         # Smallest name of each stretch of symbols: two overlapping stretches whose length is a power of two.
         best, size = np.zeros(len(a), np.int64), 1
-        place, order = np.arange(len(parse.name)), mix(parse.name, 11)
-        while True:
-            now = (count >= size) & (count < 2 * size)
-            x, y = place[a[now]], place[a[now] + count[now] - size]
-            best[now] = np.where(order[y] < order[x], y, x)
+        place, order = np.arange(len(symbol)), mix(symbol, 11)
+        while len(now):
+            here = np.flatnonzero((count >= size) & (count < 2 * size))
+            x, y = place[a[here]], place[a[here] + count[here] - size]
+            best[here] = np.where(order[y] < order[x], y, x)
             if not (count >= 2 * size).any():
                 break
             ahead = np.minimum(np.arange(len(place)) + size, len(place) - 1)
             place = np.where(order[place[ahead]] < order[place], place[ahead], place)
             size *= 2
-        name[enough], start[enough] = parse.name[best], parse.start[best]
+        name[now], start[now] = symbol[best], begin[best]
+        if not len(left):
+            break
     return name, start
 
 
@@ -218,8 +220,8 @@ class Block:
     def kept(self, settled: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
         """(words removed, text of the words kept, one blank between) of every text, given the settled windows."""
         edge = np.zeros(len(self.words) + 1, np.int64)
-        np.add.at(edge, self.first[settled], 1)
-        np.add.at(edge, self.first[settled] + self.width, -1)
+        edge[self.first[settled]] += 1
+        edge[self.first[settled] + self.width] -= 1
         keep = np.cumsum(edge)[self.word] == 0
         text, owner = self.text, np.repeat(np.arange(len(self.count)), self.count)
         removed = np.bincount(owner[~keep], minlength=len(self.count))
@@ -322,7 +324,7 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
     texts = docs.select(F.col(id_col).alias("doc_id"), doc, F.col(text_col).cast("string").alias("text"))
     # The two steps that need texts beside what is known of their id share this one exchange.
     by_id = texts.repartition("doc")
-    files = _files(texts.select("doc", "text"), width)
+    files = stored(_files(texts.select("doc", "text"), width), "filed")
     names = _dealt(_counted(files, ["name"]).where("least < most").select("name", "salts"))
     shared = stored(files.join(names, ["name", "salt"]), "files")
     groups = stored(_counted(shared, ["name", "digest"]), "digests")
