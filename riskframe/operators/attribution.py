@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.scalar import hash32
-from riskframe.operators import models, split
+from riskframe.operators import coalitions, models, split
 from riskframe.operators import order as hash_order
 from riskframe.operators.clean import require_columns
 from riskframe.operators.lineage import cut, work_dir
@@ -67,11 +67,11 @@ class LeafTable:
         return float((self.value * self.share.prod(axis=1)).sum())
 
 
-def leaf_table(model, folder: str | None = None) -> LeafTable:
-    """Leaves of a Spark forest (probability of label 1) or boosted ensemble (margin).
+def packed_trees(model, folder: str | None = None) -> DataFrame:
+    """(tree, packed) of a Spark forest (probability of label 1) or boosted ensemble (margin).
 
-    The node table comes from the saved model files, which every executor can read when
-    ``folder`` (default: the checkpoint folder) is shared. Its size is that of the model.
+    The nodes come from the saved model files in the shared ``folder`` (default: the checkpoint folder) and are packed by
+    tasks, one tree each: arrays, averages and coalition tables of ``coalitions``.
     """
     spark = SparkSession.active()
     if isinstance(model, RandomForestClassificationModel):
@@ -82,45 +82,38 @@ def leaf_table(model, folder: str | None = None) -> LeafTable:
         raise ValueError(f"No tree attribution for {type(model).__name__}")
     path = f"{folder or work_dir(spark)}/tree-model-{uuid.uuid4().hex}"
     model.write().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").toPandas()
-    weights = list(model.treeWeights)
-    scale = 1.0 / len(weights) if forest else 1.0
-    leaves: list[tuple[dict, float]] = []
-    for tree, group in nodes.groupby("treeID"):
-        table = {r.id: r for r in group.itertuples()}
-
-        def cover(i: int, table=table) -> float:
-            stats = table[i].impurityStats
-            return float(sum(stats)) if forest else float(stats[0])
-
-        stack = [(0, {})]
-        while stack:
-            i, path_so_far = stack.pop()
-            node = table[i]
-            if node.leftChild < 0:
-                stats = node.impurityStats
-                out = stats[1] / sum(stats) * scale if forest else node.prediction * weights[tree]
-                leaves.append((path_so_far, float(out)))
-                continue
-            f, cut = node.split["featureIndex"], node.split["leftCategoriesOrThreshold"][0]
-            if node.split["numCategories"] >= 0:
-                raise ValueError("Tree attribution needs numeric splits")
-            for child, is_left in ((node.leftChild, True), (node.rightChild, False)):
-                low, high, share = path_so_far.get(f, (-np.inf, np.inf, 1.0))
-                low, high = (low, min(high, cut)) if is_left else (max(low, cut), high)
-                stack.append((child, {**path_so_far, f: (low, high, share * cover(child) / cover(i))}))
-    depth = max(1, max(len(p) for p, _ in leaves))
-    shape = (len(leaves), depth)
+    weights = [1.0 / len(model.treeWeights)] * len(model.treeWeights) if forest else list(model.treeWeights)
+
+    def run(key: tuple, nodes: pd.DataFrame) -> pd.DataFrame:
+        tree = coalitions.pack(nodes, forest, weights[int(key[0])])
+        return pd.DataFrame({"tree": [int(key[0])], "packed": [coalitions.dumps(tree)]})
+
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    nodes = nodes.select("treeID", "id", "leftChild", "rightChild", "impurityStats", "prediction", "split")
+    packed = nodes.repartition(len(weights), "treeID").groupBy("treeID").applyInPandas(run, "tree int, packed binary")
+    packed.write.parquet(f"{path}/packed")
+    return spark.read.schema("tree int, packed binary").parquet(f"{path}/packed")
+
+
+def _padded(paths: list[tuple[dict, float]]) -> LeafTable:
+    depth = max(1, max(len(p) for p, _ in paths))
+    shape = (len(paths), depth)
     out = LeafTable(
-        np.zeros(shape, dtype=int), np.full(shape, -np.inf), np.full(shape, np.inf), np.ones(shape), np.zeros(len(leaves))
+        np.zeros(shape, dtype=int), np.full(shape, -np.inf), np.full(shape, np.inf), np.ones(shape), np.zeros(len(paths))
     )
-    for i, (path_so_far, value) in enumerate(leaves):
+    for i, (path, value) in enumerate(paths):
         out.value[i] = value
-        for j, (f, (low, high, share)) in enumerate(path_so_far.items()):
+        for j, (f, (low, high, share)) in enumerate(path.items()):
             out.feature[i, j], out.low[i, j], out.high[i, j], out.share[i, j] = f, low, high, share
     return out
 
 
+def leaf_table(model, folder: str | None = None) -> LeafTable:
+    """All leaves of a model."""
+    rows = packed_trees(model, folder).orderBy("tree").collect()
+    return _padded([leaf for r in rows for leaf in coalitions.leaves(coalitions.loads(r["packed"]))])
+
+
 def leaf_phi(x: np.ndarray, leaves: LeafTable) -> np.ndarray:
     """Shapley values of the path-dependent tree game for each row of x.
 
@@ -157,23 +150,29 @@ def _classifier(model: PipelineModel):
 def tree_phi(
     model: PipelineModel, df: DataFrame, key: Sequence[str], features: Sequence[str], folder: str | None = None
 ) -> DataFrame:
-    """Tree attributions of every row; the leaf table, as large as the model, goes to the tasks."""
+    """Tree attributions of every row, from coalition tables (trees of many features: from their leaves).
+
+    The packed trees, as large as the model that Spark's own ``transform`` ships to every task, are broadcast.
+    """
     require_columns(df, [*key, *features])
     features = list(features)
-    leaves = leaf_table(_classifier(model), folder)
-    # plain arrays, since a broadcast value is read without the package
-    shared = df.sparkSession.sparkContext.broadcast(
-        (leaves.feature, leaves.low, leaves.high, leaves.share, leaves.value)
-    )
+    blobs = [r["packed"] for r in packed_trees(_classifier(model), folder).orderBy("tree").collect()]
+    base = sum(float(coalitions.loads(b)["mean"][0]) for b in blobs)
+    shared = df.sparkSession.sparkContext.broadcast(blobs)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = LeafTable(*shared.value)
         for pdf in batches:
-            for start in range(0, len(pdf), ROWS_AT_ONCE):
-                part = pdf.iloc[start : start + ROWS_AT_ONCE]
-                x = part[features].to_numpy(dtype=float)
-                phi = leaf_phi(x, table)
-                yield part[list(key)].assign(xs=list(x), phis=list(phi))
+            x = pdf[features].to_numpy(dtype=float)
+            phi = np.zeros_like(x)
+            for blob in shared.value:
+                tree = coalitions.loads(blob)
+                if len(tree["used"]) <= coalitions.MAX_FEATURES:
+                    phi += coalitions.phi(tree, x)
+                    continue
+                table = _padded(coalitions.leaves(tree))
+                for start in range(0, len(x), ROWS_AT_ONCE):
+                    phi[start : start + ROWS_AT_ONCE] += leaf_phi(x[start : start + ROWS_AT_ONCE], table)
+            yield pdf[list(key)].assign(xs=list(x), phis=list(phi))
 
     rows = df.select(*key, *[F.col(c).cast("double").alias(c) for c in features])
     key_ddl = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in key)
@@ -181,7 +180,7 @@ def tree_phi(
     wide = rows.mapInPandas(explain, f"{key_ddl}, xs array<double>, phis array<double>")
     long = wide.select(*key, F.inline(F.arrays_zip(names.alias("feature"), "xs", "phis")))
     return long.select(
-        *key, "feature", F.col("xs").alias("value"), F.col("phis").alias("phi"), F.lit(leaves.base).alias("base_value")
+        *key, "feature", F.col("xs").alias("value"), F.col("phis").alias("phi"), F.lit(base).alias("base_value")
     )
 
 
