@@ -90,7 +90,7 @@ def packed_trees(model, folder: str | None = None) -> DataFrame:
 
     nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
     nodes = nodes.select("treeID", "id", "leftChild", "rightChild", "impurityStats", "prediction", "split")
-    packed = nodes.repartition(len(weights), "treeID").groupBy("treeID").applyInPandas(run, "tree int, packed binary")
+    packed = nodes.repartition(min(len(weights), spark.sparkContext.defaultParallelism), "treeID").groupBy("treeID").applyInPandas(run, "tree int, packed binary")
     packed.write.parquet(f"{path}/packed")
     return spark.read.schema("tree int, packed binary").parquet(f"{path}/packed")
 
@@ -175,6 +175,8 @@ def tree_phi(
             yield pdf[list(key)].assign(xs=list(x), phis=list(phi))
 
     rows = df.select(*key, *[F.col(c).cast("double").alias(c) for c in features])
+    # A row takes as much time as hundreds of rows of a scan, so they are spread over all cores.
+    rows = rows.repartition(max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     key_ddl = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in key)
     names = F.array(*[F.lit(c) for c in features])
     wide = rows.mapInPandas(explain, f"{key_ddl}, xs array<double>, phis array<double>")

@@ -24,9 +24,14 @@ def work_dir(spark: SparkSession) -> str:
     return own
 
 
+def ready(spark: SparkSession) -> None:
+    """Give the session a checkpoint folder, which iterative fits use as well."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(work_dir(spark))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: its files outlive lost executors."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(work_dir(df.sparkSession))
+    ready(df.sparkSession)
     return df.checkpoint(eager=True)

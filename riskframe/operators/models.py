@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import metrics as M
 from riskframe.operators.clean import require_columns
-from riskframe.operators.lineage import cut
+from riskframe.operators.lineage import cut, ready
 from riskframe.operators.split import class_counts
 
 WEIGHT = "weight__"
@@ -94,7 +94,8 @@ def estimator(kind: str, label: str, seed: int, params: dict, total_weight: floa
         reg = 1.0 / (c * total_weight) if total_weight else 0.0
         return LogisticRegression(**common, **p, regParam=reg, elasticNetParam=0.0, standardization=False)
     if kind == "random_forest":
-        return RandomForestClassifier(**common, **p, seed=seed)
+        # Rows remember their node, so a level of deep trees does not ship the forest grown so far to every task.
+        return RandomForestClassifier(**common, **p, seed=seed, cacheNodeIds=True, maxMemoryInMB=512)
     return GBTClassifier(**common, **p, seed=seed)
 
 
@@ -112,6 +113,7 @@ def train(
     if params.get("solver", "lbfgs") not in SOLVERS:
         raise ValueError(f"Invalid solver: {params['solver']}. Must be one of {list(SOLVERS)}")
     spark_params(kind, params)  # reject bad input before any job
+    ready(df.sparkSession)
     weight, total = class_weights(df, label, class_weight, kind)
     data = df.select(*features, label).dropna(subset=[label])
     if weight is not None:

@@ -7,10 +7,12 @@ import random
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.scalar import clamp01
 from riskframe.operators import metrics as M
 from riskframe.operators import models, split
-from riskframe.operators.lineage import cut
+from riskframe.operators.lineage import cut, ready
 
 # Interpretability per model type, and the metrics a ranking may use. Fixed values.
 INTERPRETABILITY = {"baseline": 1.0, "random_forest": 0.6, "xgboost": 0.5, "lightgbm": 0.5}
@@ -51,6 +53,25 @@ def summarise_folds(folds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+# Fits are many short jobs: a small table is quickest in few partitions with fits side by side, a large one stays as dealt.
+ROWS_PER_PARTITION = 25_000
+LARGE_TABLE = 10_000_000
+
+
+def spread(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The stored table in as many partitions as iterative fits make use of."""
+    data = cut(df)
+    n = data.count()
+    if n > LARGE_TABLE:
+        return data
+    return cut(data.repartition(max(1, min(df.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_PER_PARTITION))), *key))
+
+
+def fold_table(df: DataFrame, key: Sequence[str], features: Sequence[str], label: str, n_folds: int, seed: int) -> DataFrame:
+    """Key, features, label and ``fold``, stored once; all fits of a comparison can read it."""
+    return spread(split.folds(df.select(*key, *[f for f in features if f not in key], label), key, label, n_folds, seed), key)
+
+
 def cross_validate(
     df: DataFrame,
     key: Sequence[str],
@@ -61,22 +82,60 @@ def cross_validate(
     metrics: Sequence[str] | None = None,
     class_weight: str | dict | None = "balanced",
     seed: int = 42,
+    folded: DataFrame | None = None,
+    parallelism: int = 8,
     **params,
 ) -> CrossValidation:
-    """Stratified k-fold: one fit per fold, all held-out rows scored and evaluated in one job."""
+    """Stratified k-fold: one fit per fold, side by side, all held-out rows scored and evaluated in one job.
+
+    ``folded`` is a ``fold_table`` of the same arguments made before.
+    """
     wrong = [m for m in metrics or () if m not in M.METRICS]
     if wrong:
         raise ValueError(f"Invalid metrics: {wrong}. Available: {list(M.METRICS)}")
-    data = cut(split.folds(df.select(*key, *[f for f in features if f not in key], label), key, label, n_folds, seed))
-    parts = []
-    for i in range(n_folds):
+    data = fold_table(df, key, features, label, n_folds, seed) if folded is None else folded
+
+    def fit(i: int) -> DataFrame:
         model = models.train(data.where(F.col("fold") != i), kind, features, label, class_weight, seed, **params)
-        parts.append(models.predict(model, data.where(F.col("fold") == i)).select("fold", label, "prediction", "score"))
+        return models.predict(model, data.where(F.col("fold") == i)).select("fold", label, "prediction", "score")
+
+    with ThreadPool(parallelism) as pool:
+        parts = pool.map(fit, range(n_folds), chunksize=1)
     scored = cut(reduce(DataFrame.unionByName, parts))
     folds = cut(M.evaluate(scored, label, by=["fold"], metrics=metrics))
     return CrossValidation(folds, summarise_folds(folds))
 
 
+class ExactMetric(Evaluator):
+    """One of the exact metrics of ``operators.metrics`` as an evaluator; undefined counts as 0."""
+
+    def __init__(self, metric: str, label: str):
+        super().__init__()
+        self.metric, self.label = metric, label
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        scored = dataset.select(
+            self.label, F.col("prediction").cast("int").alias("prediction"), vector_to_array("probability")[1].alias("score")
+        )
+        value = M.evaluate(scored, self.label, metrics=[self.metric]).first()["value"]
+        return 0.0 if value is None else float(value)
+
+
+# Metrics that Spark's own evaluator has. The others are ranked exactly.
+_BY_LABEL = {"accuracy": "accuracy", "precision": "precisionByLabel", "recall": "recallByLabel", "f1": "fMeasureByLabel"}
+
+
+def evaluator(scoring: str, label: str) -> Evaluator:
+    """Judge of a search: any name of ``operators.metrics.METRICS``, for label 1."""
+    if scoring not in M.METRICS:
+        raise ValueError(f"Invalid scoring: {scoring}. Available: {list(M.METRICS)}")
+    if scoring in _BY_LABEL:
+        return MulticlassClassificationEvaluator(
+            labelCol=label, predictionCol="prediction", metricName=_BY_LABEL[scoring], metricLabel=1.0
+        )
+    return ExactMetric(scoring, label)
+
+
 @dataclass
 class Tuning:
     model: PipelineModel
@@ -107,18 +166,24 @@ def tune(
     n_iter: int = 20,
     class_weight: str | dict | None = "balanced",
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 8,
+    scoring: str = "f1",
+    folded: DataFrame | None = None,
 ) -> Tuning:
-    """Search the grid by stratified k-fold F1 of label 1, then refit the best on all rows."""
+    """Search the grid by a stratified k-fold metric (``scoring``), then refit the best on all rows.
+
+    ``folded`` is a ``fold_table`` of the same arguments made before.
+    """
+    judge = evaluator(scoring, label)
     if grid is None and kind not in DEFAULT_GRIDS:
         raise ValueError(f"No default grid for {kind}; pass one")
     combos = expand_grid(grid if grid is not None else DEFAULT_GRIDS[kind], search, n_iter, seed)
     mapped = [models.spark_params(kind, c) for c in combos]
     weight, total = models.class_weights(df, label, class_weight, kind)
-    data = df.select(*key, *[f for f in features if f not in key], label)
+    ready(df.sparkSession)
+    data = fold_table(df, key, features, label, cv, seed) if folded is None else folded
     if weight is not None:
         data = data.withColumn(models.WEIGHT, weight)
-    data = cut(split.folds(data, key, label, cv, seed))
     base = models.estimator(kind, label, seed, {}, total, weight is not None)
     maps = []
     for combo, spark_values in zip(combos, mapped):
@@ -127,9 +192,6 @@ def tune(
             values[base.regParam] = 1.0 / (combo["C"] * total)
         maps.append(values)
     flow = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), base])
-    judge = MulticlassClassificationEvaluator(
-        labelCol=label, predictionCol="prediction", metricName="fMeasureByLabel", metricLabel=1.0
-    )
     fitted = CrossValidator(
         estimator=flow, estimatorParamMaps=maps, evaluator=judge, numFolds=cv, foldCol="fold",
         parallelism=parallelism, seed=seed,

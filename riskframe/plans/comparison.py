@@ -34,12 +34,9 @@ class Candidate:
 CANDIDATES = (
     Candidate("Logistic Regression", "logistic_regression", "baseline", 1.0, {}),
     Candidate("Random Forest", "random_forest", "random_forest", 0.6, {}, {"n_estimators": [100, 200], "max_depth": [10, 20, None]}),
+    # Spark has one kind of boosted trees, so there is one booster to compare.
     Candidate(
-        "XGBoost", "xgboost", "xgboost", 0.5, {},
-        {"n_estimators": [100, 200], "max_depth": [3, 5, 7], "learning_rate": [0.1, 0.2]}, "random",
-    ),
-    Candidate(
-        "LightGBM", "lightgbm", "lightgbm", 0.5, {},
+        "Gradient Boosting", "gradient_boosting", "gradient_boosting", 0.5, {},
         {"n_estimators": [100, 200], "max_depth": [3, 5, 7], "learning_rate": [0.1, 0.2]}, "random",
     ),
 )
@@ -77,13 +74,14 @@ def train_and_compare(
     """Split once, then tune, fit, test and cross-validate each candidate, and rank them."""
     label = clean.DATASETS[dataset]["target"]
     data, features = numeric_inputs(df, key, dataset)
-    marked = cut(split.stratified(data, key, label, seed=seed))
+    marked = selection.spread(split.stratified(data, key, label, seed=seed), key)
     train, test = marked.where("split = 'train'").drop("split"), marked.where("split = 'test'").drop("split")
+    folded = selection.fold_table(train, key, features, label, n_folds, seed)
     scored, cv_parts, fitted = [], [], {}
     for c in candidates:
         params = dict(c.params)
         if c.grid:
-            found = selection.tune(train, key, c.kind, features, label, c.grid, n_folds, c.search, c.n_iter, seed=seed)
+            found = selection.tune(train, key, c.kind, features, label, c.grid, n_folds, c.search, c.n_iter, seed=seed, folded=folded)
             model, params = found.model, {**params, **found.best_params}
         else:
             model = models.train(train, c.kind, features, label, seed=seed, **params)
@@ -98,7 +96,7 @@ def train_and_compare(
                 "score",
             )
         )
-        cv = selection.cross_validate(train, key, c.kind, features, label, n_folds, seed=seed, **params)
+        cv = selection.cross_validate(train, key, c.kind, features, label, n_folds, seed=seed, folded=folded, **params)
         cv_parts.append(cv.summary.select(F.lit(c.name).alias("model_name"), "*"))
     ids = ["model_name", "model_type", "interpretability_score"]
     test_metrics = cut(M.evaluate(cut(reduce(DataFrame.unionByName, scored)), label, by=ids))

@@ -81,6 +81,13 @@ def exp3_tree_phi_adds_up(spark, d):
     )
 
 
+def exp3_one_split_phi(spark, d):
+    """Attributions of one boosted tree with one split, whose margin is +1 or -1 by the rule."""
+    data = model_table(spark, d)
+    model = models.train(data, "gradient_boosting", TX_FEATURES, class_weight=None, n_estimators=1, max_depth=1)
+    return rounded(attribution.tree_phi(model, data, ["event_id"], TX_FEATURES))
+
+
 def exp4_sampled_phi(spark, d):
     """Sampled attributions of every embedding row."""
     names = list(NAMES)
@@ -197,6 +204,22 @@ COMPARE = (
 )
 
 
+ONE_SPLIT = with_ctes(
+    TX
+    + """, m as (select event_id, purchase_value, cast(age as double) as age,
+    date_diff('microsecond', signup_time, purchase_time) / 3600000000.0 as hours,
+    case source when 'Ads' then 0.0 when 'Direct' then 1.0 else 2.0 end as source_code,
+    case when source = 'SEO' then 1.0 else -1.0 end as margin from tx), b as (select avg(margin) as base from m)""",
+    union_sql(
+        [
+            f"select event_id, '{c}' as feature, round(cast({c} as double), 6) as value,"
+            f" round(cast({'margin - base' if c == 'source_code' else '0'} as double), 6) as phi, round(base, 6) as base_value from m, b"
+            for c in TX_FEATURES
+        ]
+    ),
+)
+
+
 def _drivers_sql(by: str, n: int) -> str:
     return (
         f"select row_number() over (order by {by}, avg_rank, feature) as place, * from compared"
@@ -264,6 +287,7 @@ QUERIES = {
         with_ctes(TX + ", " + TX_PHI, f"select event_id, feature, {ROUND_PHI} from phi"),
     ),
     "exp3_tree_phi": (exp3_tree_phi, None),
+    "exp3_one_split_phi": (exp3_one_split_phi, ONE_SPLIT),
     "exp3_tree_phi_adds_up": (
         exp3_tree_phi_adds_up,
         "select count(*) as n_rows, cast(0 as bigint) as n_off from events",

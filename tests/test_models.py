@@ -138,3 +138,22 @@ def test_train_and_compare(tx, tmp_path, spark):
     comparison.save_json_summary(out, str(tmp_path), "ecommerce")
     assert spark.read.json(str(tmp_path / "leaderboard")).count() == 2
     assert explain.importance(out.models["RF"], out.features).count() == len(out.features)
+
+
+def test_tuning_by_any_metric(spark, sf):
+    from riskframe.queries.modelling import shared_rule_table
+
+    data, features = shared_rule_table(spark, sf), ["source_code", "seo_share"]
+    grid = {"n_estimators": [2, 3], "max_depth": [2]}
+    folded = selection.fold_table(data, ["event_id"], features, "class", 2, 42)
+    for scoring in ("pr_auc", "recall"):
+        found = selection.tune(data, ["event_id"], "random_forest", features, grid=grid, cv=2, scoring=scoring, folded=folded)
+        rows = found.candidates.collect()
+        assert [(r.mean_score, r.std_score) for r in rows] == [(1.0, 0.0)] * 2 and found.best_params == {"n_estimators": 2, "max_depth": 2}
+    with pytest.raises(ValueError, match="scoring"):
+        selection.tune(data, ["event_id"], "random_forest", features, grid=grid, scoring="loss")
+
+
+def test_no_candidate_is_trained_twice():
+    kinds = [(c.kind, str(c.grid)) for c in comparison.CANDIDATES]
+    assert len(set(kinds)) == len(kinds)
