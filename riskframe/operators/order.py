@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskframe.functions.scalar import hash32
 
@@ -28,6 +29,9 @@ BORDER_SAMPLE = 0.05
 BORDER_SKETCHES = 64
 # Labels with more classes than this are no labels.
 MAX_CLASSES = 1000
+# Rank error of the quantile sketches is 1 in so many; groups whose brackets are collected and broadcast at most.
+SKETCH_ACCURACY = 10_000
+BRACKET_GROUPS = 1000
 
 
 def cell_count(df: DataFrame) -> int:
@@ -159,6 +163,106 @@ def quantiles(
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: (by, column_name, one column per name in ``probs``).
 
+    Three wide passes without a row per cell: mergeable sketches give an interval of values around every wanted rank,
+    counts below the intervals tell where they lie, and only the values inside them, some ``6 / SKETCH_ACCURACY`` of the
+    rows, are counted and ranked. Whether the intervals hold their ranks is checked; where they do not, a column has NaN,
+    or there are more than ``BRACKET_GROUPS`` groups, all values are counted (``quantiles_by_cells``).
+    """
+    cols, names = list(cols), list(probs)
+    wide = _brackets(df, cols, probs, by)
+    if wide is None:
+        return quantiles_by_cells(df, cols, probs, by)
+    entries = [
+        F.struct(
+            F.lit(c).alias("column_name"), F.lit(j).alias("j"), F.col(c).cast("double").alias("value"),
+            F.col(f"__low{i}")[j].alias("low"), F.col(f"__high{i}")[j].alias("high"),
+            F.col(f"__below{i}")[j].alias("below"), F.col(f"__n{i}").alias("n"),
+        )
+        for i, c in enumerate(cols)
+        for j in range(len(names))
+    ]
+    hits = F.filter(F.array(*entries), lambda e: (e["value"] >= e["low"]) & (e["value"] <= e["high"]))
+    inside = wide.select(*by, F.explode(hits).alias("e")).select(*by, "e.column_name", "e.j", "e.value", "e.below", "e.n")
+    keys = [*by, "column_name", "j", "below", "n"]
+    counts = inside.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("rows"))
+    upto = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("end", F.col("below") + F.sum("rows").over(upto))
+    place = F.element_at(F.array(*[F.lit(float(p)) for p in probs.values()]), F.col("j") + 1) * (F.col("n") - 1)
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((position < F.col("end")) & (position >= F.col("end") - F.col("rows")), F.col("value")))
+
+    low, high = at(F.floor(place)), at(F.ceil(place))
+    ranks = counts.groupBy(*by, "column_name", "j").agg((low + (high - low) * F.max(place - F.floor(place))).alias("q"))
+    one = [F.max(F.when(F.col("j") == j, F.col("q"))).alias(name) for j, name in enumerate(names)]
+    return ranks.groupBy(*by, "column_name").agg(*one)
+
+
+def _literal(value, kind: T.DataType) -> Column:
+    if isinstance(kind, T.ArrayType):
+        return F.array(*[F.lit(v) for v in value]).cast(kind)
+    return F.lit(value).cast(kind)
+
+
+def _brackets(df: DataFrame, cols: Sequence[str], probs: dict[str, float], by: Sequence[str]) -> DataFrame | None:
+    """Rows beside their group's brackets, or None where brackets cannot be used."""
+    step = 2.0 / SKETCH_ACCURACY
+    edges = [min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-step, step)]
+    data = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
+    aggregates = []
+    for i, c in enumerate(cols):
+        aggregates += [
+            F.count(c).alias(f"n{i}"), F.count_if(F.isnan(c)).alias(f"nan{i}"), F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}"),
+            F.percentile_approx(c, edges, SKETCH_ACCURACY).alias(f"edges{i}"),
+        ]
+    groups = data.groupBy(*by).agg(*aggregates).limit(BRACKET_GROUPS + 1).collect()
+    if len(groups) > BRACKET_GROUPS or any(g[f"nan{i}"] for g in groups for i in range(len(cols))):
+        return None
+    rows = []
+    for g in groups:
+        row = [g[b] for b in by]
+        for i in range(len(cols)):
+            n, found = g[f"n{i}"], g[f"edges{i}"]
+            few = n <= 2 * SKETCH_ACCURACY  # too few for an interval of ranks: all of them
+            low = [g[f"min{i}"] if few or edges[2 * j] == 0.0 else found[2 * j] for j in range(len(probs))] if n else [None] * len(probs)
+            high = [g[f"max{i}"] if few or edges[2 * j + 1] == 1.0 else found[2 * j + 1] for j in range(len(probs))] if n else [None] * len(probs)
+            row += [n, low, high]
+        rows.append(row)
+    kept = [f for f in data.schema if f.name in by]
+    fields = [T.StructField(f.name, f.dataType) for f in kept]
+    for i in range(len(cols)):
+        doubles = T.ArrayType(T.DoubleType())
+        fields += [T.StructField(f"__n{i}", T.LongType()), T.StructField(f"__low{i}", doubles), T.StructField(f"__high{i}", doubles)]
+
+    def beside() -> DataFrame:
+        if by:
+            return null_safe_join(data, F.broadcast(df.sparkSession.createDataFrame(rows, T.StructType(fields))), by)
+        one = dict(zip([f.name for f in fields], zip(rows[0], fields)))
+        return data.withColumns({name: _literal(value, f.dataType) for name, (value, f) in one.items()})
+
+    less = [
+        F.array(*[F.count_if(F.col(c) < F.col(f"__low{i}")[j]) for j in range(len(probs))]).alias(f"__below{i}") for i, c in enumerate(cols)
+    ] + [F.array(*[F.count_if(F.col(c) <= F.col(f"__high{i}")[j]) for j in range(len(probs))]).alias(f"__upto{i}") for i, c in enumerate(cols)]
+    counted = beside().groupBy(*by).agg(*less).collect()
+    known = {tuple(g[b] for b in by): g for g in counted}
+    for row in rows:
+        g = known[tuple(row[: len(by)])]
+        for i in range(len(cols)):
+            n = row[len(by) + 3 * i]
+            for j, p in enumerate(probs.values() if n else ()):
+                place = p * (n - 1)
+                if g[f"__below{i}"][j] > math.floor(place) or g[f"__upto{i}"][j] <= math.ceil(place):
+                    return None
+        row += [g[f"__below{i}"] for i in range(len(cols))]
+    fields += [T.StructField(f"__below{i}", T.ArrayType(T.LongType())) for i in range(len(cols))]
+    return beside()
+
+
+def quantiles_by_cells(
+    df: DataFrame, cols: Sequence[str], probs: dict[str, float], by: Sequence[str] = ()
+) -> DataFrame:
+    """``quantiles`` from the counts of all distinct values.
+
     The row at position h = p (n - 1) is found from cell totals; only the cells that
     hold a wanted position are sorted. No group is gathered in one buffer, unlike the
     exact ``percentile`` aggregate.
@@ -184,7 +288,7 @@ def quantiles(
             wanted = wanted | ((edge >= F.col("off")) & (edge < F.col("end")))
     inside = Window.partitionBy(*keys, "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        counts.join(placed.where(wanted), [*keys, "cell"])
+        null_safe_join(counts, placed.where(wanted), [*keys, "cell"])
         .withColumn("hi", F.col("off") + F.sum("n").over(inside))
         .withColumn("lo", F.col("hi") - F.col("n"))
     )

@@ -101,3 +101,26 @@ def test_carry_fill_per_group_with_null_group(spark):
     df = spark.createDataFrame(data, "k long, g string, x double")
     got = {r["k"]: r["x"] for r in order.carry_fill(df, ["x"], "k", ["g"]).collect()}
     assert got == {1: 1.0, 2: 1.0, 3: 5.0, 4: 1.0, 5: 5.0, 6: None}
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_bracket_quantiles_equal_the_counted_ones(spark, by, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [
+        (None if i % 50 == 0 else int(i % 3), float(rng.normal()), float(rng.integers(0, 5)), None if i % 7 else float(i), None)
+        for i in range(6_000)
+    ]
+    df = spark.createDataFrame(rows, "g int, a double, b double, c double, d double").repartition(5)
+    probs = {"lo": 0.0, "q1": 0.25, "median": 0.5, "p99": 0.99, "hi": 1.0}
+    as_rows = lambda t: sorted(map(str, t.collect()))
+    cols = ["a", "b", "c", "d"]
+    want = as_rows(order.quantiles_by_cells(df, cols, probs, by))
+    assert as_rows(order.quantiles(df, cols, probs, by)) == want
+    # Coarse sketches, one group too many, NaN: the same numbers, some of them by counting all values.
+    monkeypatch.setattr(order, "SKETCH_ACCURACY", 20)
+    assert as_rows(order.quantiles(df, cols, probs, by)) == want
+    monkeypatch.setattr(order, "BRACKET_GROUPS", 1)
+    assert as_rows(order.quantiles(df, cols, probs, by)) == want
+    odd = df.unionByName(df.limit(3).withColumn("a", F.lit(float("nan"))))
+    assert as_rows(order.quantiles(odd, cols, probs, by)) == as_rows(order.quantiles_by_cells(odd, cols, probs, by))
+    assert order.quantiles(df.limit(0), cols, probs, by).count() == 0
