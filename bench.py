@@ -1,4 +1,4 @@
-"""Time the headline queries; prints one JSON line.
+"""Time the headline queries; prints one JSON line (and each time on stderr as it is known).
 
 Reads BENCH_SF_DIR (default /root/testdata/sf0.1) on local[BENCH_CPUS].
 """
@@ -58,6 +58,7 @@ def main() -> None:
         start = time.perf_counter()
         known[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+        print(f"{name} {times[name]}", file=sys.stderr, flush=True)
     print(
         json.dumps(
             {
