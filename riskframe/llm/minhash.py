@@ -7,8 +7,12 @@ slice of the table, and a signature is the element-wise minimum of such slices.
 
 Equal sets fall together first, by an exact group-by on a 128-bit digest of the whole set. Signatures of the
 remaining distinct sets are cut into bands; sets that agree in a band share a bucket. No pairs of a bucket are listed:
-leaders are compared with the members outside their component (see ``leaders``), first by sketches of two bits per
-coordinate and then, where these agree well enough, on the full shingle sets.
+leaders are compared with the members outside their component (see ``leaders``), first by the shingles that no other
+candidate has, then by sketches of two bits per coordinate, and where both allow the link, on the full shingle sets.
+
+Edits leave every copy with shingles of its own. Such private shingles are in no intersection and in every union, so their
+number bounds the similarity of a set to any other, exactly: copies that differ too much from the rest are out before any
+comparison, and two copies of one original are told apart from two numbers each.
 """
 
 from __future__ import annotations
@@ -100,39 +104,39 @@ def _sign(bands: int, rows: int, seed: int):
 
 
 def _sketch(seed: int):
-    """Task function: (doc_id, text) -> with set size, digest, and two bits of each of SKETCH coordinates, 32 of them in a word."""
+    """Task function: (doc_id, text) -> doc_id, set size, digest, the set, and two bits of each of SKETCH coordinates, 32 in a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shifts = U(2) * np.arange(32, dtype=U)
         for batch in batches:
-            words, sizes, d1, d2 = [], [], [], []
+            words, sets, sizes, d1, d2 = [], [], [], [], []
             for _, data, offsets in blocks(batch.column(1)):
                 for s in shingle_sets(data, offsets):
                     sizes.append(len(s))
                     d1.append(mix(s, 21).sum(dtype=U))
                     d2.append(mix(s, 22).sum(dtype=U))
+                    sets.append(s.view(np.int64))
                     values = signature(s, SKETCH, seed).astype(U) if len(s) else np.zeros(SKETCH, U)
                     words.append(((values & U(3)).reshape(-1, 32) << shifts).sum(axis=1, dtype=U).view(np.int64))
             flat = np.concatenate(words) if words else np.zeros(0, np.int64)
             lists = np.arange(len(words) + 1, dtype=np.int32) * (SKETCH // 32)
+            ends = np.zeros(len(sizes) + 1, np.int32)
+            np.cumsum(sizes, out=ends[1:])
+            shingles = pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))
             digest = [pa.array(np.array(sizes, np.int64)), *[pa.array(np.array(d, U).view(np.int64)) for d in (d1, d2)]]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *digest, pa.ListArray.from_arrays(pa.array(lists), pa.array(flat))], ["doc_id", "text", "n_shingles", "d1", "d2", "sketch"])
+            lists = [pa.ListArray.from_arrays(pa.array(ends), shingles), pa.ListArray.from_arrays(pa.array(lists), pa.array(flat))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *digest, *lists], ["doc_id", "n_shingles", "d1", "d2", "shingles", "sketch"])
 
     return run
 
 
 def _verify(percent: int):
-    """Task function: (a, b, text_a, text_b) -> the pairs with 100 * intersection >= percent * union of full sets."""
+    """Task function: (a, b, set_a, set_b) -> whether 100 * intersection >= percent * union of the full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = (s for _, d, o in blocks(batch.column(2)) for s in shingle_sets(d, o))
-            right = (s for _, d, o in blocks(batch.column(3)) for s in shingle_sets(d, o))
             keep = []
-            for x, y in zip(left, right, strict=True):
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
+            for x, y in zip(*[(row.values.to_numpy() for row in batch.column(k)) for k in (2, 3)], strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keep, pa.bool_())], ["a", "b", "linked"])
@@ -193,24 +197,38 @@ def near_duplicates(
     if not members.limit(1).count():
         return _labelled(signed, of_class, group)
 
-    schema = "doc_id long, text string, n_shingles long, d1 long, d2 long, sketch array<long>"
+    schema = "doc_id long, n_shingles long, d1 long, d2 long, shingles array<long>, sketch array<long>"
     wanted = leads.join(members.select(F.col("rep").alias("node")).distinct(), "node", "left_semi")
-    texts = _only(docs, wanted.select("doc_id"), "wanted").select("doc_id", "text").mapInArrow(_sketch(seed), schema)
-    texts = texts.join(wanted, ["doc_id", *digest]).dropDuplicates(["doc_id", *digest]).select("node", "text", "sketch")
-    texts = stored(texts, "texts")
-    members = members.join(texts.select(F.col("node").alias("rep"), "sketch"), "rep")
+    full = _only(docs, wanted.select("doc_id"), "wanted").select("doc_id", "text").mapInArrow(_sketch(seed), schema)
+    full = full.join(wanted, ["doc_id", *digest]).dropDuplicates(["doc_id", *digest])
+    full = stored(full.select("node", F.col("n_shingles").alias("n"), "shingles", "sketch"), "full")
+    hopeful = full.join(private_shingles(full), "node", "left").withColumn("private", F.coalesce("private", F.lit(0)))
+    hopeful = hopeful.where(100 * (F.col("n") - F.col("private")) >= percent * F.col("n"))
+    members = members.join(hopeful.select(F.col("node").alias("rep"), "private", "sketch"), "rep")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        side = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        both = pairs.join(other, "b").join(side, "a").select("a", "b", "text_a", "text_b")
+        side = full.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+        other = full.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
+        both = pairs.join(other, "b").join(side, "a").select("a", "b", "set_a", "set_b")
         return both.mapInArrow(_verify(percent), "a long, b long, linked boolean")
 
-    sized = F.expr(f"100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)")
-    group = leaders.grow(members, group, signed.count(), ["n", "sketch"], sized & _close(percent), verify)
+    group = leaders.grow(members, group, signed.count(), ["n", "private", "sketch"], _may_link(percent) & _close(percent), verify)
     return _labelled(signed, of_class, group)
 
 
+def private_shingles(full: DataFrame) -> DataFrame:
+    """(node, private): how many shingles of a set are in no other set of ``full`` (node, shingles); sets without any are left out."""
+    each = full.select("node", F.explode("shingles").alias("shingle"))
+    holders = each.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last"))
+    return holders.where("node = last").groupBy("node").agg(F.count(F.lit(1)).alias("private"))
+
+
+def _may_link(percent: int) -> Column:
+    """Whether sizes and private shingles of two sets allow the threshold: the intersection has none of them, the union has all."""
+    shared = F.least(F.col("n") - F.col("private"), F.col("lead_n") - F.col("lead_private"))
+    return 100 * shared >= percent * (F.col("n") + F.col("lead_n") - shared)
+
+
 def _close(percent: int) -> Column:
     """Whether two sketches disagree in few enough coordinates for the threshold."""
     j = percent / 100
