@@ -125,6 +125,24 @@ def test_nearest_is_exact(spark, monkeypatch, block):
     assert got == {f"{i:04d}": [f"{j:04d}" for j in np.argsort(d[i], kind="stable")[:5]] for i in range(len(pts))}
 
 
+@pytest.mark.parametrize("rows", [8, 48])
+def test_nearest_across_groups_ships_no_vectors_through_the_driver(spark, monkeypatch, rows):
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 8)
+    for name in ("GROUP_ROWS", "MIN_GROUP_ROWS"):
+        monkeypatch.setattr(knn, name, rows, raising=False)
+    rng = np.random.default_rng(1)
+    pts = np.round(rng.normal(0, 1, (300, 4)), 1)  # many equal distances
+    pts = np.unique(np.vstack([pts, pts[:40] + 1e9]), axis=0)
+    df = spark.createDataFrame([(f"{i:04d}", 1, [float(v) for v in p]) for i, p in enumerate(pts)], "vid string, n bigint, vec array<double>")
+    near = knn.nearest(df, 5)
+    got = {r["vid"]: [x["nvid"] for x in r["near"]] for r in near.collect()}
+    d = np.sqrt(((pts[:, None] - pts[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    assert got == {f"{i:04d}": [f"{j:04d}" for j in np.argsort(d[i], kind="stable")[:5]] for i in range(len(pts))}
+    # Spark broadcasts small sides of joins: the rows that ask were one, whatever they grew to
+    assert "MapInPandas" not in near._jdf.queryExecution().executedPlan().toString()
+
+
 def test_nearest_with_fewer_points_than_k(spark):
     df = spark.createDataFrame([("a", 1, [0.0]), ("b", 1, [1.0])], "vid string, n bigint, vec array<double>")
     assert {r["vid"]: len(r["near"]) for r in knn.nearest(df, 5).collect()} == {"a": 1, "b": 1}
