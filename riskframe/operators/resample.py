@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.scalar import hash32, uniform
 from riskframe.operators import knn, order, scale
 from riskframe.operators.clean import require_columns
+from riskframe.operators.lineage import cut
 from riskframe.operators.profile import imbalance
 from riskframe.operators.split import class_counts
 
@@ -113,7 +114,8 @@ def smote(
         1,
         k,
     )
-    placed = points.join(near, "vid", "left").select("vid", places.alias("places"))
+    # several steps read the result, which would search again
+    placed = cut(points.join(near, "vid", "left").select("vid", places.alias("places")))
     bases = order.mark_smallest(minority, {0: extra}, None, key, seed, "one_more")
     copies = (
         bases.withColumn("copies", F.lit(each) + F.col("one_more").cast("int"))

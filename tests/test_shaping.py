@@ -217,3 +217,8 @@ def test_preprocessing_arguments(unbalanced):
         resample.Preprocessing("standard", "adasyn")
     with pytest.raises(ValueError, match="must be fitted"):
         resample.Preprocessing().transform(unbalanced)
+
+
+def test_smote_searches_neighbours_once(spark, unbalanced):
+    grown = resample.smote(unbalanced, ["id"], "class", ["a", "b"], 0.5)
+    assert "InPandas" not in grown._jdf.queryExecution().toString()
