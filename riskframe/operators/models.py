@@ -34,6 +34,9 @@ KINDS = {
 }
 # The deepest tree Spark ML grows; stands for "no limit".
 MAX_DEPTH = 30
+# Tree fits keep a row with its count in every tree; a task holds so many rows at most, and all cores get rows before that.
+ROWS_PER_TASK = 100_000
+ROWS_WORTH_A_TASK = 25_000
 
 
 def spark_params(kind: str, params: dict) -> dict:
@@ -57,13 +60,13 @@ def spark_params(kind: str, params: dict) -> dict:
     return out
 
 
-def class_weights(df: DataFrame, label: str, class_weight: str | dict | None, kind: str):
+def class_weights(df: DataFrame, label: str, class_weight: str | dict | None, kind: str, counts: dict | None = None):
     """(weight expression or None, sum of the weights).
 
     Balanced means n / (classes * n_c), or n0/n1 on positives for boosters. The sum follows
-    from the class counts, without another pass.
+    from the class counts, without another pass; ``counts`` are those counted before.
     """
-    counts = class_counts(df, label)
+    counts = class_counts(df, label) if counts is None else counts
     if class_weight is None:
         return None, float(sum(counts.values()))
     if isinstance(class_weight, dict):
@@ -99,6 +102,13 @@ def estimator(kind: str, label: str, seed: int, params: dict, total_weight: floa
     return GBTClassifier(**common, **p, seed=seed)
 
 
+def dealt(data: DataFrame, n_rows: int) -> DataFrame:
+    """The rows of a tree fit in partitions of bounded size, however few the table came in."""
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    parts = max(-(-n_rows // ROWS_PER_TASK), min(cores, -(-n_rows // ROWS_WORTH_A_TASK)))
+    return data.repartition(parts) if parts > 1 else data
+
+
 def train(
     df: DataFrame,
     kind: str,
@@ -114,8 +124,11 @@ def train(
         raise ValueError(f"Invalid solver: {params['solver']}. Must be one of {list(SOLVERS)}")
     spark_params(kind, params)  # reject bad input before any job
     ready(df.sparkSession)
-    weight, total = class_weights(df, label, class_weight, kind)
+    counts = class_counts(df, label)
+    weight, total = class_weights(df, label, class_weight, kind, counts)
     data = df.select(*features, label).dropna(subset=[label])
+    if kind != "logistic_regression":
+        data = dealt(data, sum(counts.values()))
     if weight is not None:
         data = data.withColumn(WEIGHT, weight)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")

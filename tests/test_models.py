@@ -157,3 +157,14 @@ def test_tuning_by_any_metric(spark, sf):
 def test_no_candidate_is_trained_twice():
     kinds = [(c.kind, str(c.grid)) for c in comparison.CANDIDATES]
     assert len(set(kinds)) == len(kinds)
+
+
+def test_tree_fits_deal_rows_to_tasks_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 100, raising=False)
+    monkeypatch.setattr(models, "ROWS_WORTH_A_TASK", 50, raising=False)
+    df = spark.range(1000, numPartitions=1).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("class"))
+    sizes = []
+    fit = models.Pipeline.fit
+    monkeypatch.setattr(models.Pipeline, "fit", lambda self, data: (sizes.extend(r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect()), fit(self, data))[1])
+    models.train(df, "random_forest", ["x"], n_estimators=2, max_depth=2)
+    assert sum(sizes) == 1000 and max(sizes) <= 150
