@@ -12,8 +12,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
+from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel, RandomForestClassificationModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -186,6 +188,47 @@ def tree_phi(
     )
 
 
+def _linear_score(model: PipelineModel, features: Sequence[str]) -> tuple[np.ndarray, float] | None:
+    """(weights, intercept) of a two-class logistic model of just these features, else None."""
+    first, last = model.stages[0], _classifier(model)
+    if len(model.stages) != 2 or not isinstance(last, LogisticRegressionModel) or not isinstance(first, VectorAssembler):
+        return None
+    if first.getInputCols() != list(features) or last.numClasses != 2 or last.coefficientMatrix.numRows != 1:
+        return None
+    return np.array(last.coefficients, dtype=float), float(last.intercept)
+
+
+def _linear_gains(draws: DataFrame, key: Sequence[str], features: Sequence[str], places: list, line: tuple[np.ndarray, float]) -> DataFrame:
+    """(key, own values, gains per feature, base score) of every draw. Along a permutation one term of the margin changes at
+    a step, so its scores follow from one running sum, without a row per step."""
+    weights, intercept = line
+    d, n_key = len(features), len(key)
+    rows = draws.select(
+        *key, F.array(*features).alias("own__"), F.array(*[f"bg_{c}" for c in features]).alias("bg__"), F.array(*places).alias("places__")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, bg, places = (batch.column(n_key + i).flatten().to_numpy(zero_copy_only=False).reshape(-1, d) for i in range(3))
+            if np.isnan(own).any() or np.isnan(bg).any():
+                raise ValueError("Rows to explain and background rows need values in all features")
+            order = np.argsort(places, axis=1, kind="stable")
+            terms = np.take_along_axis(weights * own - weights * bg, order, axis=1)
+            start = (weights * bg).sum(axis=1, keepdims=True) + intercept
+            with np.errstate(over="ignore"):
+                score = 1.0 / (1.0 + np.exp(-np.concatenate([start, start + np.cumsum(terms, axis=1)], axis=1)))
+            gains = np.empty_like(own)
+            np.put_along_axis(gains, order, np.diff(score, axis=1), axis=1)
+            ends = pa.array(np.arange(0, gains.size + 1, d, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[: n_key + 1], pa.ListArray.from_arrays(ends, pa.array(gains.ravel())), pa.array(score[:, 0])],
+                [*key, "own__", "gains__", "base__"],
+            )
+
+    key_ddl = "".join(f"`{k}` {rows.schema[k].dataType.simpleString()}, " for k in key)
+    return rows.mapInArrow(run, f"{key_ddl}own__ array<double>, gains__ array<double>, base__ double")
+
+
 def sampled_phi(
     model: PipelineModel,
     df: DataFrame,
@@ -200,8 +243,9 @@ def sampled_phi(
 
     For each row and permutation, features switch one after another from a background row
     to the row's own values; a feature's share is the change of the score when it
-    switches. All mixed rows are scored in one ``transform``. The background sample is a
-    table of ``n_background`` numbered rows, of any size.
+    switches. All mixed rows are scored in one ``transform``, those of a logistic model from
+    running sums of its margin. The background sample is a table of ``n_background`` numbered
+    rows, of any size.
     """
     features = list(features)
     require_columns(df, [*key, *features])
@@ -219,10 +263,17 @@ def sampled_phi(
         .withColumn("b__", F.pmod(hash32([*key, "p__"], seed), F.lit(n_bg)).cast("int"))
         .join(F.broadcast(bg) if n_bg <= BROADCAST_BACKGROUND else bg, "b__")
     )
-    places = F.array_sort(
-        F.array(*[F.struct(hash32([*key, "p__", F.lit(c)], seed).alias("h"), F.lit(i).alias("i")) for i, c in enumerate(features)])
+    places = [hash32([*key, "p__", F.lit(c)], seed) for c in features]
+    line = _linear_score(model, features)
+    if line is not None:
+        drawn = _linear_gains(draws, key, features, places, line)
+        own = [F.col("own__")[i].alias(f"own_{c}") for i, c in enumerate(features)]
+        gains = [(F.sum(F.col("gains__")[i]) / n_permutations).alias(f"phi_{c}") for i, c in enumerate(features)]
+        per_row = drawn.groupBy(*key, *own).agg(*gains, F.avg("base__").alias("base_value"))
+        return _long_phi(per_row, key, features)
+    order = F.transform(
+        F.array_sort(F.array(*[F.struct(h.alias("h"), F.lit(i).alias("i")) for i, h in enumerate(places)])), lambda s: s["i"]
     )
-    order = F.transform(places, lambda s: s["i"])
     steps = draws.withColumn("order__", order).withColumn("j__", F.explode(F.sequence(F.lit(0), F.lit(d))))
     ranks = {f"r_{c}": F.array_position("order__", F.lit(i)) for i, c in enumerate(features)}  # 1-based
     ranked = steps.withColumns(ranks)
@@ -248,6 +299,10 @@ def sampled_phi(
     per_row = scored.groupBy(*key, *[f"own_{c}" for c in features]).agg(
         *gains, F.avg(F.when(F.col("j__") == 0, F.col("score"))).alias("base_value")
     )
+    return _long_phi(per_row, key, features)
+
+
+def _long_phi(per_row: DataFrame, key: Sequence[str], features: Sequence[str]) -> DataFrame:
     rows = [
         F.struct(F.lit(c).alias("feature"), F.col(f"own_{c}").alias("value"), F.col(f"phi_{c}").alias("phi"))
         for c in features

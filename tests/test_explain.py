@@ -74,6 +74,23 @@ def test_sampled_phi_adds_up_and_tracks_signs(data):
     assert both.agg(F.corr("a", "b")).first()[0] > 0.9
 
 
+def test_sampled_phi_of_a_line_takes_no_row_per_step(data, monkeypatch):
+    m = models.train(data, "logistic_regression", FEATURES, "Class", class_weight=None, C=10.0)
+    few = data.where("vec_id < 15")
+    few = few.unionByName(few.where("vec_id < 4"))
+    args = (m, few, ["vec_id"], FEATURES, data, 7, 30)
+    key = lambda r: (r["vec_id"], r["feature"])
+    fast = attribution.sampled_phi(*args)
+    plan = fast._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "UDF" not in plan
+    monkeypatch.setattr(attribution, "_linear_score", lambda *_: None, raising=False)
+    plain = sorted(attribution.sampled_phi(*args).collect(), key=key)
+    fast = sorted(fast.collect(), key=key)
+    assert [key(r) for r in fast] == [key(r) for r in plain]
+    for name in ("value", "phi", "base_value"):
+        assert [r[name] for r in fast] == pytest.approx([r[name] for r in plain], abs=1e-12)
+
+
 def test_explain_model_picks_the_method(data):
     lr = models.train(data, "logistic_regression", FEATURES, "Class")
     assert attribution.explain_model(lr, data, ["vec_id"], FEATURES, n_rows=10).count() == 40
