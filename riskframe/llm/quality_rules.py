@@ -3,7 +3,7 @@
 One pass over the texts gives rule statistics per document (words, symbols, repeated lines and word windows, shape of
 words and lines). Documents that random splits isolate after few steps are anomalous. Each tree grows on a small
 seeded sample, the usual 256 rows, so the forest has a fixed size; every document is scored by its mean path length.
-The score that separates accepted from rejected is calibrated on labelled rows.
+The score that separates accepted from rejected is calibrated on all labelled rows.
 """
 
 from __future__ import annotations
@@ -18,11 +18,10 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import stored
 from riskframe.llm.textbytes import U, Words, blocks, windows
+from riskframe.operators import order
 
 TREES = 100
 TREE_ROWS = 256
-# Labelled rows that calibrate the threshold, at most.
-LABELLED_ROWS = 50_000
 SEED = 5
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SHAPES = ("n_lines", "n_upper", "n_distinct", "n_final")
@@ -164,24 +163,30 @@ def _score(forest: Forest):
     return run
 
 
-def _threshold(score: np.ndarray, good: np.ndarray) -> float:
-    """The cut with the best balanced accuracy, as far up as possible among equals; no labels of both kinds: nothing is cut."""
-    if not good.any() or good.all():
+def _threshold(known: DataFrame) -> float:
+    """The cut with the best balanced accuracy, as far up as possible among equals; no labels of both kinds: nothing is cut.
+
+    ``known`` holds (anomaly, quality) of all labelled rows. They are counted per distinct score, and running totals over
+    ordered cells of scores take the place of a sort of them all.
+    """
+    marked = known.select("anomaly", F.col("quality").alias("good"), (1 - F.col("quality")).alias("bad"))
+    counts = stored(marked.groupBy("anomaly").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")), "scores")
+    total = counts.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
+    if not total["good"] or not total["bad"]:
         return math.inf
-    order = np.argsort(score, kind="stable")
-    s, g = score[order], good[order]
-    kept_good = np.cumsum(g) / g.sum()
-    kept_bad = np.cumsum(~g) / (~g).sum()
-    gain = np.where(np.append(s[1:] > s[:-1], True), kept_good - kept_bad, -1)
-    at = len(s) - 1 - int(np.argmax(gain[::-1]))
-    return float((s[at] + s[at + 1]) / 2) if at + 1 < len(s) else math.inf
+    cells = order.value_cells(counts, ["anomaly"])
+    upto = order.add_preceding(cells, [], "anomaly__cell", "anomaly", ["good", "bad"])
+    gain = (F.col("good_before") + F.col("good")) / F.lit(total["good"]) - (F.col("bad_before") + F.col("bad")) / F.lit(total["bad"])
+    at = upto.agg(F.max(F.struct(gain.alias("gain"), "anomaly")).alias("best")).first()["best"]["anomaly"]
+    after = counts.where(F.col("anomaly") > F.lit(at)).agg(F.min("anomaly").alias("anomaly")).first()["anomaly"]
+    return math.inf if after is None else (at + after) / 2
 
 
-def judge(docs: DataFrame, labels: DataFrame, trees: int = TREES, tree_rows: int = TREE_ROWS, labelled_rows: int = LABELLED_ROWS, seed: int = SEED) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = SEED) -> DataFrame:
     """(doc_id, COUNTS, anomaly, base_failed, kept) for every row of ``docs``; ``labels`` holds (doc_id, quality 0 or 1).
 
     ``base_failed``: fewer than 50 words, or more than half of the words in repeated windows. ``kept``: not failed, and
-    the anomaly is at most the threshold calibrated on at most ``labelled_rows`` labelled documents that did not fail.
+    the anomaly is at most the threshold calibrated on all labelled documents that did not fail.
 
     * Null or blank text: all counts 0, failed. Null doc_id: judged by its text, never labelled.
     * Labels that are null or name no document are left out; without labels of both kinds only the base rules decide.
@@ -200,6 +205,5 @@ def judge(docs: DataFrame, labels: DataFrame, trees: int = TREES, tree_rows: int
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)")
     known = scored.where(~failed).select("doc_id", "anomaly").join(marks.groupBy("doc_id").agg(F.min("quality").alias("quality")), "doc_id")
-    known = known.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", "anomaly").limit(labelled_rows).toPandas()
-    limit = _threshold(known["anomaly"].to_numpy(float), known["quality"].to_numpy() == 1)
+    limit = _threshold(known)
     return scored.select("doc_id", *COUNTS, "anomaly", failed.alias("base_failed"), (~failed & (F.col("anomaly") <= F.lit(limit))).alias("kept"))

@@ -1,8 +1,10 @@
+import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from riskframe.llm import quality_model, quality_rules
 
@@ -63,6 +65,22 @@ def test_rules_without_labels_or_rows(spark):
     assert quality_rules.judge(spark.createDataFrame([], DOCS), none).collect() == []
 
 
+def test_threshold_takes_all_labelled_rows(spark):
+    # with any 50,000 of these rows missing the best cut would lie elsewhere or between other scores
+    n = 60_000
+    known = spark.range(n).select((F.col("id") / n).alias("anomaly"), (F.col("id") < n - 1000).cast("int").alias("quality"))
+    assert quality_rules._threshold(known) == ((n - 1001) / n + (n - 1000) / n) / 2
+    rng = np.random.default_rng(3)
+    score, good = rng.integers(0, 40, 400) / 40.0, rng.random(400) < 0.6
+    cuts = np.unique(score)
+    gain = [good[score <= c].sum() / good.sum() - (~good)[score <= c].sum() / (~good).sum() for c in cuts]
+    at = len(cuts) - 1 - int(np.argmax(gain[::-1]))
+    want = (cuts[at] + cuts[at + 1]) / 2 if at + 1 < len(cuts) else math.inf
+    rows = [(float(s), int(g)) for s, g in zip(score, good)]
+    assert quality_rules._threshold(spark.createDataFrame(rows, "anomaly double, quality int")) == want
+    assert quality_rules._threshold(known.where("quality = 1")) == math.inf
+
+
 def test_isolated_points_score_high():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(size=(500, 3)), [[9.0, 9.0, 9.0]]])
