@@ -7,14 +7,17 @@ log probabilities of the languages given the word or n-gram under equal priors,
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from riskframe.llm.common import stored
 
@@ -25,8 +28,9 @@ MODEL_GRAMS = 120_000
 LONGEST = 5
 # Units of the background, text of all languages together, that each language's counts are filled up with.
 BACKGROUND = 500.0
-# Words a task keeps the scores of.
-CACHE_WORDS = 400_000
+# Words a task keeps the scores of, and words whose texts are judged together.
+CACHE_WORDS = 100_000
+BLOCK_WORDS = 500_000
 UNKNOWN = "und"
 
 _WORD = r"[^\W\d_]+"
@@ -64,20 +68,42 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """``langs``; ``known[unit]``: log P(language | unit), a row of numbers."""
+    """``langs``; ``parts[mark]``: units, and per unit log P(language | unit), of words (mark ``w``) and of n-grams (their length).
 
-    def __init__(self, langs: list[str], known: dict[str, np.ndarray]):
-        self.langs, self.known = langs, known
+    Arrow and NumPy hold the tables as they are, a few MB in the driver and in each worker: no object per unit.
+    """
 
-    def word(self, word: str) -> np.ndarray:
-        row = self.known.get("w" + word)
-        if row is not None:
-            return row
-        for k in range(min(LONGEST, len(word) + 2), 0, -1):
-            rows = [r for r in map(self.known.get, [f"{k}{g}" for g in _grams(word, k)]) if r is not None]
-            if rows:
-                return np.mean(rows, axis=0)
-        return np.zeros(len(self.langs))
+    def __init__(self, langs: list[str], parts: dict[str, tuple[pa.Array, np.ndarray]]):
+        self.langs, self.parts = langs, parts
+
+    @property
+    def known(self) -> set[str]:
+        return {mark + unit for mark, (units, _) in self.parts.items() for unit in units.to_pylist()}
+
+    def _find(self, mark: str, units: list[str]) -> np.ndarray:
+        """Places of ``units`` in the part, -1 where it has none."""
+        if mark not in self.parts:
+            return np.full(len(units), -1)
+        return pc.index_in(pa.array(units, pa.string()), value_set=self.parts[mark][0]).fill_null(-1).to_numpy(zero_copy_only=False)
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """A row of scores for each word."""
+        out = np.zeros((len(words), len(self.langs)), np.float32)
+        at = self._find("w", words)
+        if (at >= 0).any():
+            out[at >= 0] = self.parts["w"][1][at[at >= 0]]
+        left = np.flatnonzero(at < 0)
+        for k in range(LONGEST, 0, -1):
+            grams = [_grams(words[i], k) for i in left]
+            at = self._find(str(k), list(itertools.chain.from_iterable(grams)))
+            ends = np.cumsum([len(g) for g in grams], dtype=np.int64)
+            hits = np.concatenate([[0], np.cumsum(at >= 0)])
+            some = hits[ends] > hits[ends - [len(g) for g in grams]] if len(left) else np.zeros(0, bool)
+            for j in np.flatnonzero(some):
+                mine = at[ends[j] - len(grams[j]) : ends[j]]
+                out[left[j]] = np.mean(self.parts[str(k)][1][mine[mine >= 0]], axis=0)
+            left = left[~some]
+        return out
 
 
 def _log_share(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
@@ -111,14 +137,15 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, words: int = MODEL_WORD
     wanted = F.lit(False)
     for lang in langs:
         wanted = wanted | (F.col(f"`{lang}`") >= F.when(mark == "w", F.lit(least[lang, True])).otherwise(F.lit(least[lang, False])))
-    frame = table.where(wanted).orderBy("unit").toPandas()
-    known: dict[str, np.ndarray] = {}
-    marks = frame["unit"].str[0]
+    chosen = table.where(wanted).toArrow().combine_chunks()
+    marks = pc.utf8_slice_codeunits(chosen["unit"], 0, 1)
+    parts = {}
     for k in totals:
-        some = frame[marks == k]
-        if len(some):
-            known.update(zip(some["unit"], _log_share(some[langs].to_numpy(float), totals[k]), strict=True))
-    return Model(langs, known)
+        some = chosen.filter(pc.equal(marks, k))
+        if some.num_rows:
+            counts = np.stack([some[lang].to_numpy() for lang in langs], axis=1).astype(float)
+            parts[k] = pc.utf8_slice_codeunits(some["unit"], 1).cast(pa.string()).combine_chunks(), _log_share(counts, totals[k])
+    return Model(langs, parts)
 
 
 def _least(table: DataFrame, langs: list[str], words: int, grams: int) -> dict[tuple[str, bool], int]:
@@ -139,57 +166,71 @@ def _least(table: DataFrame, langs: list[str], words: int, grams: int) -> dict[t
 
 
 class _Scores(dict):
-    """Word -> its row in a growing table of scores."""
+    """Word -> its row in a growing table of scores; new words are scored together when the table is asked for."""
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model, self.table = model, np.zeros((1024, len(model.langs)), np.float32)
+        self.model, self.new, self.table = model, [], np.zeros((1024, len(model.langs)), np.float32)
 
     def __missing__(self, word: str) -> int:
-        at = len(self)
-        if at == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[at] = self.model.word(word)
-        self[word] = at
-        return at
-
-
-def _predict(langs: list[str], units: list[str], rows: np.ndarray):
+        self.new.append(word)
+        return self.setdefault(word, len(self))
+
+    def rows(self) -> np.ndarray:
+        if len(self) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros((max(len(self.table), len(self) - len(self.table)), len(self.model.langs)), np.float32)])
+        self.table[len(self) - len(self.new) : len(self)] = self.model.words(self.new)
+        self.new = []
+        return self.table
+
+
+def _judge(block: list[np.ndarray], scores: _Scores) -> Iterator[tuple[str, float]]:
+    """Language and score of each text, given the places of its words."""
+    table = scores.rows()
+    for at in block:
+        if not len(at):
+            yield UNKNOWN, 0.0
+            continue
+        total = table[at].sum(axis=0, dtype=np.float64)
+        share = np.exp(total - total.max())
+        best = int(np.argmax(share))
+        yield scores.model.langs[best], float(share[best] / share.sum())
+    if len(scores) > CACHE_WORDS:
+        scores.clear()
+
+
+def _predict(model: Model, inside: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = _Scores(Model(langs, dict(zip(units, rows, strict=True))))
+        scores = _Scores(model)
         find = re.compile(_WORD).findall
         for batch in batches:
-            names, sure = [], []
-            for text in batch.column(batch.num_columns - 1):
-                words = find((text.as_py() or "").lower())
-                if not words or not langs:
-                    names.append(UNKNOWN)
-                    sure.append(0.0)
-                    continue
-                if len(scores) > CACHE_WORDS:
-                    scores.clear()
-                at = np.fromiter(map(scores.__getitem__, words), np.int64, len(words))
-                total = scores.table[at].sum(axis=0, dtype=np.float64)
-                share = np.exp(total - total.max())
-                best = int(np.argmax(share))
-                names.append(langs[best])
-                sure.append(float(share[best] / share.sum()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(sure, pa.float64())], [*batch.schema.names[:-1], "lang_pred", "score"])
+            found: list[tuple[str, float]] = []
+            block, size = [], 0
+            for text in batch.column(0).field(inside) if inside else batch.column(batch.num_columns - 1):
+                words = find((text.as_py() or "").lower()) if model.langs else []
+                block.append(np.fromiter(map(scores.__getitem__, words), np.int32, len(words)))
+                size += len(words)
+                if size > BLOCK_WORDS:
+                    found += _judge(block, scores)
+                    block, size = [], 0
+            found += _judge(block, scores)
+            kept = 1 if inside else batch.num_columns - 1
+            added = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *added], [*batch.schema.names[:kept], "lang_pred", "score"])
 
     return run
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+def predict(docs: DataFrame, model: Model, keep: list[str], inside: str | None = None) -> DataFrame:
     """The ``keep`` columns of ``docs`` with lang_pred and score. The text alone settles both.
 
     Text that is null or has no letter: ``und``, score 0. A tie goes to the language that sorts first. The score is
-    the probability of the language among those learned.
+    the probability of the language among those learned. ``inside``: the field of the only kept column, a struct, that
+    is the text; then it travels once.
     """
-    rows = docs.select(*keep, F.col("text").cast("string").alias("text__"))
+    rows = docs.select(*keep) if inside else docs.select(*keep, F.col("text").cast("string").alias("text__"))
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[: len(keep)]], "lang_pred string", "score double"])
-    units = list(model.known)
-    table = np.stack([model.known[u] for u in units]) if units else np.zeros((0, len(model.langs)), np.float32)
-    return rows.mapInArrow(_predict(model.langs, units, table), schema)
+    return rows.mapInArrow(_predict(model, inside), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -206,5 +247,6 @@ def keep_known(docs: DataFrame, least: float = 0.4) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is found with a score of at least ``least``; ``und`` goes."""
     learn = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(~held_out(F.col("doc_id").cast("long")))
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row__"), F.col("text").cast("string").alias("text"))
-    found = predict(named, train(learn), ["row__"])
+    inside = next((f.name for f in docs.schema if f.name.lower() == "text" and f.dataType == StringType()), None)
+    found = predict(named, train(learn), ["row__"], inside)
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row__.*")

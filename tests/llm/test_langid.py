@@ -1,5 +1,9 @@
 import zlib
 
+import numpy as np
+import pyarrow as pa
+import pytest
+
 from riskframe.llm import langid
 
 SCHEMA = "doc_id long, text string, lang string, source string, lang_pred string"
@@ -81,3 +85,47 @@ def test_no_labels_and_no_rows(spark):
     got = langid.identify(frame(spark, [(1, "the cat", None)])).collect()
     assert got[0]["lang_pred"] == "und"
     assert langid.identify(frame(spark, [])).collect() == []
+
+
+def test_lookups_in_bulk_agree_with_one_unit_at_a_time(spark):
+    model = langid.train(frame(spark, corpus()), words=12, grams=60)
+    rows = {mark + u: r for mark, (units, table) in model.parts.items() for u, r in zip(units.to_pylist(), table, strict=True)}
+    assert set(rows) == model.known
+
+    def single(word):
+        if "w" + word in rows:
+            return rows["w" + word]
+        for k in range(langid.LONGEST, 0, -1):
+            known = [rows[f"{k}{g}"] for g in langid._grams(word, k) if f"{k}{g}" in rows]
+            if known:
+                return np.mean(known, axis=0)
+        return np.zeros(len(model.langs))
+
+    words = ["water", "katze", "katzen", "w", "zzz", "漢字", "überhaus", "a"]
+    assert np.array_equal(model.words(words), np.array([single(w) for w in words], np.float32))
+    assert model.words([]).shape == (0, 3)
+
+
+def test_model_has_no_object_per_unit_and_texts_travel_once(spark, monkeypatch):
+    """Executors hold the model in every worker: both it and a batch have to be small."""
+    model = langid.train(frame(spark, corpus()))
+    assert all(isinstance(units, pa.Array) and table.dtype == np.float32 for units, table in model.parts.values())
+    sent = []
+    kind = type(spark.range(1))
+    inner = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *args: (sent.append(self.columns), inner(self, *args))[1])
+    kept = langid.keep_known(frame(spark, [*corpus(), (1, None, "en")]))
+    assert sent[-1] == ["row__"] and kept.count() == len(corpus())
+
+
+def test_blocks_of_words_and_a_full_cache_change_nothing(spark):
+    rows = frame(spark, corpus())
+    model = langid.train(rows)
+    want = rows.count(), sorted(map(tuple, langid.predict(rows, model, ["doc_id"]).collect()))
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in corpus()]), pa.array([r[1] for r in corpus()])], ["doc_id", "text__"])
+    for words, cache in ((1, 1), (7, 20)):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(langid, "BLOCK_WORDS", words)
+            patch.setattr(langid, "CACHE_WORDS", cache)
+            got = [tuple(r.values()) for b in langid._predict(model, None)(iter([batch])) for r in b.to_pylist()]
+        assert (len(got), sorted(got)) == want
