@@ -5,6 +5,9 @@ members that are not yet in their component, and then leave the bucket. Rounds g
 components, so every pair that shares a bucket is in one component in the end or was compared. A round starts with
 one leader per bucket, the member that shares buckets with most others, since copies differ less from their original
 than from each other; then leaders grow eightfold as long as a round's comparisons stay in proportion to the table.
+
+Copies share many buckets, and one comparison settles them all. So the first rounds see a part of the buckets only,
+dealt by a hash; what they join has left the others before their turn comes. All buckets take part in the end.
 """
 
 from __future__ import annotations
@@ -19,14 +22,20 @@ from riskframe.llm.components import components
 
 # Comparisons that one round may make in the bucket join, for each row of the table.
 COMPARED_PER_ROW = 128
+# One bucket in so many takes part from the first, second, ... round on; a few members are compared in all at once.
+TURNS = (16, 4, 1)
+FEW_MEMBERS = 100_000
+# Buckets with more members are spread over SALTS tasks; the rows looked up for the others are not copied.
+LARGE_BUCKET = 100
+SALTS = 16
 
 
 def shared_buckets(bucketed: DataFrame) -> DataFrame:
-    """(``bucketed`` columns, weight): rows (rep, bucket, ...) of buckets with two members at least; weight counts the shared places."""
+    """(``bucketed`` columns, size, weight): rows (rep, bucket, ...) of buckets with two members at least; weight counts the shared places."""
     sizes = bucketed.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count(F.lit(1)).alias("size"))
     members = stored(salted_join(bucketed, sizes.where("low < high").select("bucket", "size"), ["bucket"], "inner"), "shared")
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
-    return stored(members.drop("size").join(weight, "rep"), "members")
+    return stored(members.join(weight, "rep"), "members")
 
 
 def merge(group: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -41,29 +50,47 @@ def merge(group: DataFrame | None, links: DataFrame) -> DataFrame:
     return stored(renamed.union(merged.join(group.select("node"), "node", "left_anti")), "groups")
 
 
+def _in_bucket(members: DataFrame, table: DataFrame, how: str) -> DataFrame:
+    """Join of ``members`` to ``table`` on the bucket and its size; a large bucket's rows of ``table`` are copied once per salt."""
+    salts = F.when(F.col("size") > LARGE_BUCKET, SALTS).otherwise(1)
+    dealt = members.withColumn("__salt", F.pmod(F.xxhash64("rep"), salts).cast("int"))
+    copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return dealt.join(copies, ["bucket", "size", "__salt"], how).drop("__salt")
+
+
 def grow(members: DataFrame, group: DataFrame, rows: int, facts: list[str], possible: Column, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``group`` (node, label) after all links of ``members`` (rep, bucket, weight, facts...) have joined it.
+    """``group`` (node, label) after all links of ``members`` (rep, bucket, size, weight, facts...) have joined it.
 
     ``possible`` is a condition on a member's ``facts`` and its leader's ``lead_<fact>``; ``verify`` turns pairs (a, b)
     into (a, b, linked). ``rows`` is the size of the table that the budget of a round follows.
     """
     budget = COMPARED_PER_ROW * rows
+    turns = TURNS if members.count() > FEW_MEMBERS else TURNS[-1:]
+    place = F.pmod(F.xxhash64("bucket"), F.lit(TURNS[0]))
     checked = None
-    slots = 1
+    live = members.limit(0)
+    slots, turn, begun = 1, 0, 0
     while True:
-        tagged = members.join(group.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("label", "rep")).drop("label")
-        open_ = tagged.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
-        tagged = stored(salted_join(tagged, open_, ["bucket"], "left_semi"), "open")
+        if turn < len(turns):
+            share = TURNS[0] // turns[turn]
+            live = live.unionByName(members.where((place >= begun) & (place < share)))
+            turn, begun = turn + 1, share
+        tagged = live.join(group.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("label", "rep")).drop("label")
+        open_ = tagged.groupBy("bucket", "size").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket", "size")
+        tagged = stored(_in_bucket(tagged, open_, "left_semi"), "open")
         size = tagged.count()
         if not size:
-            return group
+            if turn == len(turns):
+                return group
+            live = tagged.drop("comp")
+            continue
         slots = max(1, min(slots, budget // size))
         slot = F.pmod(F.xxhash64("rep", F.lit(slots)), F.lit(slots)) if slots > 1 else F.lit(0)
         first = F.max(F.struct("weight", (-F.col("rep")).alias("minus"), "comp", *facts)).alias("lead")
-        chosen = tagged.groupBy("bucket", slot.alias("slot")).agg(first)
-        chosen = chosen.select("bucket", (-F.col("lead.minus")).alias("lead_rep"), F.col("lead.comp").alias("lead_comp"), *[F.col(f"lead.{f}").alias(f"lead_{f}") for f in facts])
+        chosen = tagged.groupBy("bucket", "size", slot.alias("slot")).agg(first)
+        chosen = chosen.select("bucket", "size", (-F.col("lead.minus")).alias("lead_rep"), F.col("lead.comp").alias("lead_comp"), *[F.col(f"lead.{f}").alias(f"lead_{f}") for f in facts])
         chosen = stored(chosen, "leaders")
-        pairs = salted_join(tagged, chosen, ["bucket"], "inner").where(F.col("comp") != F.col("lead_comp")).where(possible)
+        pairs = _in_bucket(tagged, chosen, "inner").where(F.col("comp") != F.col("lead_comp")).where(possible)
         pairs = pairs.select(F.least("rep", "lead_rep").alias("a"), F.greatest("rep", "lead_rep").alias("b")).distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
@@ -72,5 +99,6 @@ def grow(members: DataFrame, group: DataFrame, rows: int, facts: list[str], poss
         checked = done if checked is None else checked.union(done)
         group = merge(group, results.where("linked"))
         leading = chosen.select("bucket", F.col("lead_rep").alias("rep"))
-        members = tagged.drop("comp").join(leading, ["bucket", "rep"], "left_anti")
-        slots *= 8
+        live = tagged.drop("comp").join(leading, ["bucket", "rep"], "left_anti")
+        if turn == len(turns):
+            slots *= 8

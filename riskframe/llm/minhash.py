@@ -204,15 +204,20 @@ def near_duplicates(
     full = stored(full.select("node", F.col("n_shingles").alias("n"), "shingles", "sketch"), "full")
     hopeful = full.join(private_shingles(full), "node", "left").withColumn("private", F.coalesce("private", F.lit(0)))
     hopeful = hopeful.where(100 * (F.col("n") - F.col("private")) >= percent * F.col("n"))
-    members = members.join(hopeful.select(F.col("node").alias("rep"), "private", "sketch"), "rep")
+    members = stored(members.join(hopeful.select(F.col("node").alias("rep"), "private"), "rep"), "hopeful")
 
     def verify(pairs: DataFrame) -> DataFrame:
+        # the sketch of a set is looked up once per pair of sets, not carried in each of its buckets
+        lead = full.select(F.col("node").alias("b"), F.col("sketch").alias("lead_sketch"))
+        near = pairs.join(lead, "b").join(full.select(F.col("node").alias("a"), "sketch"), "a")
+        near = stored(near.select("a", "b", _close(percent).alias("close")), "close")
         side = full.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
         other = full.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-        both = pairs.join(other, "b").join(side, "a").select("a", "b", "set_a", "set_b")
-        return both.mapInArrow(_verify(percent), "a long, b long, linked boolean")
+        both = near.where("close").join(other, "b").join(side, "a").select("a", "b", "set_a", "set_b")
+        apart = near.where(~F.col("close")).select("a", "b", F.lit(False).alias("linked"))
+        return both.mapInArrow(_verify(percent), "a long, b long, linked boolean").union(apart)
 
-    group = leaders.grow(members, group, signed.count(), ["n", "private", "sketch"], _may_link(percent) & _close(percent), verify)
+    group = leaders.grow(members, group, signed.count(), ["n", "private"], _may_link(percent), verify)
     return _labelled(signed, of_class, group)
 
 

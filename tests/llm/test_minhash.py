@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from riskframe.llm import minhash
+from riskframe.llm import leaders, minhash
 from riskframe.llm.components import components
 from riskframe.llm.textbytes import blocks
 
@@ -89,6 +89,29 @@ def test_different_texts_under_one_id(spark):
     assert all(r["component_id"] == want[r["doc_id"]] for r in got)
 
 
+def test_copies_are_settled_in_a_part_of_their_buckets(spark, monkeypatch):
+    """Rounds start with few buckets, the rest is left to members still apart; sketches stay out of the bucket tables."""
+    rng = random.Random(9)
+    texts = family(rng, [f"w{rng.randrange(5000)}" for _ in range(400)], 150, 1) + family(rng, [f"w{rng.randrange(5000)}" for _ in range(200)], 10, 4)
+    seen = []
+
+    def spy(df, name):
+        out = stored(df, name)
+        seen.append((name, out.count(), out.columns))
+        return out
+
+    stored = leaders.stored
+    monkeypatch.setattr(leaders, "stored", spy)
+    monkeypatch.setattr(leaders, "FEW_MEMBERS", 0, raising=False)
+    rows = list(enumerate(texts))
+    got = minhash.near_duplicates(spark.createDataFrame([(*r, 1, "s") for r in rows], SCHEMA), 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute(rows, 85)
+    members = next(n for name, n, _ in seen if name == "members")
+    rounds = [n for name, n, _ in seen if name == "open"]
+    assert sum(rounds) < members / 4
+    assert not any("sketch" in c for name, _, columns in seen if name in ("open", "leaders") for c in columns)
+
+
 def test_no_rows(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
