@@ -55,10 +55,25 @@ def empty_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def worker_store(kind: str, key: object, make: Callable[[], object]) -> object:
-    """A value that a Python worker makes once and keeps for its later tasks (the package itself travels with each task)."""
+def _kept(kind: str) -> dict:
     module = sys.modules.setdefault("riskframe_worker_store", types.ModuleType("riskframe_worker_store"))
     kept = module.__dict__.setdefault("kept", {})
+    for other in [k for k in kept if k[0] != kind]:
+        del kept[other]
+    return kept
+
+
+def worker_store(kind: str, key: object, make: Callable[[], object]) -> object:
+    """A value that a Python worker makes once and keeps for its later tasks (the package itself travels with each task).
+
+    Workers live on from one operator's stages to the next one's, so what was kept of another kind goes.
+    """
+    kept = _kept(kind)
     if (kind, key) not in kept:
         kept[kind, key] = make()
     return kept[kind, key]
+
+
+def forget_others(kind: str) -> None:
+    """Drop what a Python worker keeps for tasks of another kind; for tasks that keep nothing but need the memory."""
+    _kept(kind)

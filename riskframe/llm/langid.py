@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from riskframe.llm.common import stored
+from riskframe.llm.common import forget_others, stored
 
 # Training documents of one language, and the words and n-grams of one language that the model keeps, at most.
 TRAIN_DOCS = 4_000
@@ -201,6 +201,7 @@ def _judge(block: list[np.ndarray], scores: _Scores) -> Iterator[tuple[str, floa
 
 def _predict(model: Model, inside: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others("language")
         scores = _Scores(model)
         find = re.compile(_WORD).findall
         for batch in batches:

@@ -4,7 +4,7 @@ A bucket holds rows that may be similar. In each round some members of a bucket
 members that are not yet in their component, and then leave the bucket. Rounds go on until no bucket holds two
 components, so every pair that shares a bucket is in one component in the end or was compared. A round starts with
 one leader per bucket, the member that shares buckets with most others, since copies differ less from their original
-than from each other; then leaders grow eightfold as long as a round's comparisons stay in proportion to the table.
+than from each other; then leaders grow by a factor as long as a round's comparisons stay in proportion to the table.
 
 Copies share many buckets, and one comparison settles them all. So the first rounds see a part of the buckets only,
 dealt by a hash; what they join has left the others before their turn comes. All buckets take part in the end.
@@ -21,7 +21,10 @@ from riskframe.llm.common import salted_join, stored
 from riskframe.llm.components import components
 
 # Comparisons that one round may make in the bucket join, for each row of the table.
-COMPARED_PER_ROW = 128
+COMPARED_PER_ROW = 512
+# Leaders of a bucket grow by this factor from round to round, and are so many in one round at most (powers of two).
+GROWTH = 16
+MOST_LEADERS = 1 << 20
 # One bucket in so many takes part from the first, second, ... round on; a few members are compared in all at once.
 TURNS = (16, 4, 1)
 FEW_MEMBERS = 100_000
@@ -58,11 +61,15 @@ def _in_bucket(members: DataFrame, table: DataFrame, how: str) -> DataFrame:
     return dealt.join(copies, ["bucket", "size", "__salt"], how).drop("__salt")
 
 
-def grow(members: DataFrame, group: DataFrame, rows: int, facts: list[str], possible: Column, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def grow(
+    members: DataFrame, group: DataFrame, rows: int, facts: list[str], possible: Column,
+    verify: Callable[[DataFrame], DataFrame], more: DataFrame | None = None,
+) -> DataFrame:
     """``group`` (node, label) after all links of ``members`` (rep, bucket, size, weight, facts...) have joined it.
 
-    ``possible`` is a condition on a member's ``facts`` and its leader's ``lead_<fact>``; ``verify`` turns pairs (a, b)
-    into (a, b, linked). ``rows`` is the size of the table that the budget of a round follows.
+    ``possible`` is a condition on a member's ``facts`` and its leader's ``lead_<fact>``; ``verify`` leaves
+    the linked ones of pairs (a, b). ``more``: pairs (a, b), a < b, to verify whatever their buckets. ``rows`` is the size of
+    the table that the budget of a round follows.
     """
     budget = COMPARED_PER_ROW * rows
     turns = TURNS if members.count() > FEW_MEMBERS else TURNS[-1:]
@@ -76,15 +83,18 @@ def grow(members: DataFrame, group: DataFrame, rows: int, facts: list[str], poss
             live = live.unionByName(members.where((place >= begun) & (place < share)))
             turn, begun = turn + 1, share
         tagged = live.join(group.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("label", "rep")).drop("label")
-        open_ = tagged.groupBy("bucket", "size").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket", "size")
-        tagged = stored(_in_bucket(tagged, open_, "left_semi"), "open")
-        size = tagged.count()
-        if not size:
+        open_ = tagged.groupBy("bucket", "size").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("now"))
+        open_ = open_.where("low < high").select("bucket", "size", "now")
+        tagged = stored(_in_bucket(tagged, open_, "inner"), "open")
+        # comparisons of a round with so many leaders a bucket
+        choices = [1 << k for k in range(slots.bit_length())]
+        compared = tagged.agg(*[F.sum(F.least("now", F.lit(k))) for k in choices]).first()
+        if not compared[0]:
             if turn == len(turns):
-                return group
-            live = tagged.drop("comp")
+                return group if more is None else merge(group, stored(verify(more), "verified"))
+            live = tagged.drop("comp", "now")
             continue
-        slots = max(1, min(slots, budget // size))
+        slots = max([1, *[k for k, n in zip(choices, compared) if n <= budget]])
         slot = F.pmod(F.xxhash64("rep", F.lit(slots)), F.lit(slots)) if slots > 1 else F.lit(0)
         first = F.max(F.struct("weight", (-F.col("rep")).alias("minus"), "comp", *facts)).alias("lead")
         chosen = tagged.groupBy("bucket", "size", slot.alias("slot")).agg(first)
@@ -92,13 +102,15 @@ def grow(members: DataFrame, group: DataFrame, rows: int, facts: list[str], poss
         chosen = stored(chosen, "leaders")
         pairs = _in_bucket(tagged, chosen, "inner").where(F.col("comp") != F.col("lead_comp")).where(possible)
         pairs = pairs.select(F.least("rep", "lead_rep").alias("a"), F.greatest("rep", "lead_rep").alias("b")).distinct()
+        if more is not None:
+            pairs, more = pairs.union(more).distinct(), None
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        results = stored(verify(pairs), "verified")
-        done = results.select("a", "b")
-        checked = done if checked is None else checked.union(done)
-        group = merge(group, results.where("linked"))
+        pairs = stored(pairs, "pairs")
+        if pairs.limit(1).count():
+            checked = pairs if checked is None else checked.union(pairs)
+            group = merge(group, stored(verify(pairs), "verified"))
         leading = chosen.select("bucket", F.col("lead_rep").alias("rep"))
-        live = tagged.drop("comp").join(leading, ["bucket", "rep"], "left_anti")
+        live = tagged.drop("comp", "now").join(leading, ["bucket", "rep"], "left_anti")
         if turn == len(turns):
-            slots *= 8
+            slots = min(slots * GROWTH, MOST_LEADERS)

@@ -12,7 +12,9 @@ candidate has, then by sketches of two bits per coordinate, and where both allow
 
 Edits leave every copy with shingles of its own. Such private shingles are in no intersection and in every union, so their
 number bounds the similarity of a set to any other, exactly: copies that differ too much from the rest are out before any
-comparison, and two copies of one original are told apart from two numbers each.
+comparison, and two copies of one original are told apart from two numbers each. In a crowd (sets of large buckets) some edits
+meet: a shingle in at most RARE sets of the crowd counts as private too. Pairs that have such a shingle in common, a few for
+each, are listed by it and verified on their own, so the bound holds for all others.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ RING_BITS = 20
 SKETCH = 768
 # A pair whose sketches disagree by this many standard deviations more than at the threshold is not verified.
 DEVIATIONS = 5.0
+# A shingle in so many sets of a crowd at most is rare.
+RARE = 8
 # Lists of identifiers up to this size are broadcast; longer ones are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -204,20 +208,34 @@ def near_duplicates(
     full = stored(full.select("node", F.col("n_shingles").alias("n"), "shingles", "sketch"), "full")
     hopeful = full.join(private_shingles(full), "node", "left").withColumn("private", F.coalesce("private", F.lit(0)))
     hopeful = hopeful.where(100 * (F.col("n") - F.col("private")) >= percent * F.col("n"))
-    members = stored(members.join(hopeful.select(F.col("node").alias("rep"), "private"), "rep"), "hopeful")
+    hopeful = hopeful.select(F.col("node").alias("rep"), "private")
+    in_crowd = stored(members.where(F.col("size") > leaders.LARGE_BUCKET).select(F.col("rep").alias("node")).distinct(), "crowd")
+    n_crowd = in_crowd.count()
+    kin = None
+    if n_crowd:
+        crowd = full.join(F.broadcast(in_crowd) if n_crowd <= BROADCAST_IDS else in_crowd, "node", "left_semi")
+        rare = rare_shingles(crowd)
+        kin = rare_pairs(rare, percent)
+        counts = rare.groupBy("node").agg(F.count(F.lit(1)).alias("rare"))
+        common = crowd.select("node", "n").join(counts, "node", "left").select(F.col("node").alias("rep"), (F.col("n") - F.coalesce("rare", F.lit(0))).alias("common"))
+        members = members.join(hopeful, "rep").join(common, "rep", "left")
+        # in a large bucket all belong to the crowd
+        members = members.where((F.col("size") <= leaders.LARGE_BUCKET) | (100 * F.col("common") >= percent * F.col("n")))
+    else:
+        members = members.join(hopeful, "rep").withColumn("common", F.lit(None).cast("long"))
+    members = stored(members, "hopeful")
 
     def verify(pairs: DataFrame) -> DataFrame:
         # the sketch of a set is looked up once per pair of sets, not carried in each of its buckets
         lead = full.select(F.col("node").alias("b"), F.col("sketch").alias("lead_sketch"))
         near = pairs.join(lead, "b").join(full.select(F.col("node").alias("a"), "sketch"), "a")
-        near = stored(near.select("a", "b", _close(percent).alias("close")), "close")
+        near = near.where(_close(percent)).select("a", "b")
         side = full.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
         other = full.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-        both = near.where("close").join(other, "b").join(side, "a").select("a", "b", "set_a", "set_b")
-        apart = near.where(~F.col("close")).select("a", "b", F.lit(False).alias("linked"))
-        return both.mapInArrow(_verify(percent), "a long, b long, linked boolean").union(apart)
+        both = near.join(other, "b").join(side, "a").select("a", "b", "set_a", "set_b")
+        return both.mapInArrow(_verify(percent), "a long, b long, linked boolean").where("linked").select("a", "b")
 
-    group = leaders.grow(members, group, signed.count(), ["n", "private"], _may_link(percent), verify)
+    group = leaders.grow(members, group, signed.count(), ["n", "private", "common"], _may_link(percent), verify, kin)
     return _labelled(signed, of_class, group)
 
 
@@ -228,9 +246,32 @@ def private_shingles(full: DataFrame) -> DataFrame:
     return holders.where("node = last").groupBy("node").agg(F.count(F.lit(1)).alias("private"))
 
 
+def rare_shingles(crowd: DataFrame) -> DataFrame:
+    """(node, n, shingle): the shingles of each set of ``crowd`` (node, n, shingles) that at most RARE of its sets have."""
+    each = crowd.select("node", "n", F.explode("shingles").alias("shingle"))
+    frequent = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") > RARE).select("shingle")
+    return stored(salted_join(each, frequent, ["shingle"], "left_anti").select("node", "n", "shingle"), "rare")
+
+
+def rare_pairs(rare: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets with a rare shingle in common, where the numbers of common rare and of other shingles allow the threshold."""
+    together = rare.groupBy("shingle").agg(F.collect_list("node").alias("nodes")).where(F.size("nodes") > 1)
+    pairs = together.select(F.explode("nodes").alias("a"), "nodes").select("a", F.explode("nodes").alias("b")).where("a < b")
+    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"))
+    facts = rare.groupBy("node", "n").agg(F.count(F.lit(1)).alias("rare"))
+    pairs = pairs.join(facts.toDF("a", "n_a", "rare_a"), "a").join(facts.toDF("b", "n_b", "rare_b"), "b")
+    shared = F.col("both") + F.least(F.col("n_a") - F.col("rare_a"), F.col("n_b") - F.col("rare_b"))
+    return pairs.where(100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
+
+
 def _may_link(percent: int) -> Column:
-    """Whether sizes and private shingles of two sets allow the threshold: the intersection has none of them, the union has all."""
-    shared = F.least(F.col("n") - F.col("private"), F.col("lead_n") - F.col("lead_private"))
+    """Whether sizes and private shingles of two sets allow the threshold: the intersection has none of them, the union has all.
+
+    For two sets of the crowd that is so with their rare shingles too, unless ``rare_pairs`` has the pair.
+    """
+    # null, which ``least`` skips, unless both are of the crowd
+    common = F.when(F.col("common") < F.col("lead_common"), F.col("common")).when(F.col("lead_common").isNotNull() & F.col("common").isNotNull(), F.col("lead_common"))
+    shared = F.least(F.col("n") - F.col("private"), F.col("lead_n") - F.col("lead_private"), common)
     return 100 * shared >= percent * (F.col("n") + F.col("lead_n") - shared)
 
 

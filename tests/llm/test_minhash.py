@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from riskframe.llm import leaders, minhash
+from riskframe.llm import common, leaders, minhash
 from riskframe.llm.components import components
 from riskframe.llm.textbytes import blocks
 
@@ -112,6 +112,38 @@ def test_copies_are_settled_in_a_part_of_their_buckets(spark, monkeypatch):
     assert not any("sketch" in c for name, _, columns in seen if name in ("open", "leaders") for c in columns)
 
 
+def test_crowd_of_copies_below_the_threshold(spark, monkeypatch):
+    """Copies of copies share their edits with a few others only; the crowd is not compared pair by pair, and no link is lost."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    texts = [" ".join(base)]
+    for _ in range(100):
+        (parent,) = family(rng, base, 1, 6)
+        texts += [parent, *family(rng, parent.split(), 1, 1), *family(rng, parent.split(), 1, 2)]
+    seen = []
+
+    def spy(df, name):
+        out = stored(df, name)
+        if name in ("pairs", "verified"):
+            seen.append(out.count())
+        return out
+
+    stored = leaders.stored
+    monkeypatch.setattr(leaders, "stored", spy)
+    monkeypatch.setattr(leaders, "LARGE_BUCKET", 10)
+    rows = list(enumerate(texts))
+    got = minhash.near_duplicates(spark.createDataFrame([(*r, 1, "s") for r in rows], SCHEMA), 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute(rows, 85)
+    assert sum(seen) < 10 * len(texts)
+
+
+def test_worker_keeps_values_of_one_kind():
+    made = []
+    for kind in ("a", "a", "b", "a"):
+        common.worker_store(kind, 1, lambda kind=kind: made.append(kind))
+    assert made == ["a", "b", "a"]
+
+
 def test_no_rows(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
