@@ -1,6 +1,6 @@
 """Classification metrics on a prediction table (label, prediction, score).
 
-``by`` computes them per group (fold, split, model) in the same pass.
+``by`` computes them per group (fold, split, model) in the same pass. ``rows`` names a column that counts the rows a row stands for.
 """
 
 from __future__ import annotations
@@ -16,19 +16,17 @@ from riskframe.operators import order
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
 
 
-def _cells(label: str, prediction: str) -> dict[str, Column]:
+def _cells(label: str, prediction: str, rows: str | None = None) -> dict[str, Column]:
     y, p = F.col(label), F.col(prediction)
-    return {
-        "tn": F.count_if((y == 0) & (p == 0)),
-        "fp": F.count_if((y == 0) & (p == 1)),
-        "fn": F.count_if((y == 1) & (p == 0)),
-        "tp": F.count_if((y == 1) & (p == 1)),
-    }
+    where = {"tn": (y == 0) & (p == 0), "fp": (y == 0) & (p == 1), "fn": (y == 1) & (p == 0), "tp": (y == 1) & (p == 1)}
+    if rows is None:
+        return {name: F.count_if(c) for name, c in where.items()}
+    return {name: F.coalesce(F.sum(F.when(c, F.col(rows))), F.lit(0)) for name, c in where.items()}
 
 
-def counts(df: DataFrame, label="class", prediction="prediction", by: Sequence[str] = ()) -> DataFrame:
+def counts(df: DataFrame, label="class", prediction="prediction", by: Sequence[str] = (), rows: str | None = None) -> DataFrame:
     """(by, tn, fp, fn, tp)."""
-    return df.groupBy(*by).agg(*[c.alias(n) for n, c in _cells(label, prediction).items()])
+    return df.groupBy(*by).agg(*[c.alias(n) for n, c in _cells(label, prediction, rows).items()])
 
 
 def confusion(df: DataFrame, label="class", prediction="prediction", by: Sequence[str] = ()) -> DataFrame:
@@ -41,10 +39,10 @@ def confusion(df: DataFrame, label="class", prediction="prediction", by: Sequenc
     return counts(df, label, prediction, by).select(*by, F.inline(F.array(*rows)))
 
 
-def scores(df: DataFrame, label="class", prediction="prediction", by: Sequence[str] = ()) -> DataFrame:
+def scores(df: DataFrame, label="class", prediction="prediction", by: Sequence[str] = (), rows: str | None = None) -> DataFrame:
     """(by, accuracy, precision, recall, f1) of label 1; a ratio over nothing is 0."""
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    return counts(df, label, prediction, by).select(
+    return counts(df, label, prediction, by, rows).select(
         *by,
         safe_ratio(tp + tn, tp + tn + fp + fn).alias("accuracy"),
         safe_ratio(tp, tp + fp).alias("precision"),
@@ -53,14 +51,20 @@ def scores(df: DataFrame, label="class", prediction="prediction", by: Sequence[s
     )
 
 
-def ranking_scores(df: DataFrame, label="class", score="score", by: Sequence[str] = ()) -> DataFrame:
+def ranking_scores(df: DataFrame, label="class", score="score", by: Sequence[str] = (), rows: str | None = None) -> DataFrame:
     """(by, roc_auc, pr_auc), exact with ties; null where a class is missing.
 
     Distinct scores are counted first; running counts from the highest score down give
     the area under the ROC curve and the average precision without a global sort.
     """
-    flipped = df.select(*by, (-F.col(score).cast("double")).alias("key__"), label)
-    distinct = order.value_counts_long(flipped, ["key__"], by, {"pos": F.col(label).cast("bigint")})
+    positive = F.col(label).cast("bigint")
+    if rows is None:
+        flipped = df.select(*by, (-F.col(score).cast("double")).alias("key__"), label)
+        distinct = order.value_counts_long(flipped, ["key__"], by, {"pos": positive})
+    else:
+        flipped = df.select(*by, (-F.col(score).cast("double")).alias("key__"), label, rows)
+        sums = {"pos": positive * F.col(rows), "rows__": F.col(rows)}
+        distinct = order.value_counts_long(flipped, ["key__"], by, sums).drop("n").withColumnRenamed("rows__", "n")
     placed = order.add_preceding(distinct, [*by, "column_name"], "cell", "value", ["n", "pos"])
     pos, n = F.col("pos").cast("double"), F.col("n").cast("double")
     neg = n - pos
@@ -93,22 +97,23 @@ def evaluate(
     score="score",
     by: Sequence[str] = (),
     metrics: Sequence[str] | None = None,
+    rows: str | None = None,
 ) -> DataFrame:
     """(by, metric, value) for the wanted metrics; an undefined area is null."""
     names = list(metrics) if metrics is not None else list(METRICS)
     wrong = [m for m in names if m not in METRICS]
     if wrong:
         raise ValueError(f"Invalid metrics: {wrong}; known are {', '.join(METRICS)}")
-    flat = scores(df, label, prediction, by)
+    flat = scores(df, label, prediction, by, rows)
     if {"roc_auc", "pr_auc"} & set(names):
-        areas = ranking_scores(df, label, score, by)
+        areas = ranking_scores(df, label, score, by, rows)
         if by:
             flat = order.null_safe_join(flat, areas, list(by), "left")
         else:
             both = areas.select(F.struct("roc_auc", "pr_auc")).scalar()
             flat = flat.withColumn("a", both).select("*", "a.roc_auc", "a.pr_auc")
-    rows = [F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in names]
-    return flat.select(*by, F.inline(F.array(*rows)))
+    pairs = [F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in names]
+    return flat.select(*by, F.inline(F.array(*pairs)))
 
 
 def report(df: DataFrame, label="class", prediction="prediction", by: Sequence[str] = ()) -> DataFrame:

@@ -60,26 +60,33 @@ def spark_params(kind: str, params: dict) -> dict:
     return out
 
 
+def weights_by_class(counts: dict, class_weight: str | dict | None, kind: str) -> dict:
+    """Weight per class; a class that is not named weighs 1.
+
+    Balanced means n / (classes * n_c), or n0/n1 on positives for boosters.
+    """
+    if class_weight is None:
+        return {}
+    if isinstance(class_weight, dict):
+        return class_weight
+    if class_weight != "balanced":
+        raise ValueError(f"Invalid class_weight: {class_weight}. Must be 'balanced', None, or a dict")
+    if kind in ("logistic_regression", "random_forest"):
+        n = sum(counts.values())
+        return {c: n / (len(counts) * m) for c, m in counts.items()}
+    n0, n1 = counts.get(0, 0), counts.get(1, 0)
+    return {0: 1.0, 1: n0 / n1 if n0 and n1 else 1.0}
+
+
 def class_weights(df: DataFrame, label: str, class_weight: str | dict | None, kind: str, counts: dict | None = None):
-    """(weight expression or None, sum of the weights).
+    """(weight expression or None, sum of the weights); see ``weights_by_class``.
 
-    Balanced means n / (classes * n_c), or n0/n1 on positives for boosters. The sum follows
-    from the class counts, without another pass; ``counts`` are those counted before.
+    The sum follows from the class counts, without another pass; ``counts`` are those counted before.
     """
     counts = class_counts(df, label) if counts is None else counts
+    weights = weights_by_class(counts, class_weight, kind)
     if class_weight is None:
         return None, float(sum(counts.values()))
-    if isinstance(class_weight, dict):
-        weights = class_weight
-    elif class_weight == "balanced":
-        if kind in ("logistic_regression", "random_forest"):
-            n = sum(counts.values())
-            weights = {c: n / (len(counts) * m) for c, m in counts.items()}
-        else:
-            n0, n1 = counts.get(0, 0), counts.get(1, 0)
-            weights = {0: 1.0, 1: n0 / n1 if n0 and n1 else 1.0}
-    else:
-        raise ValueError(f"Invalid class_weight: {class_weight}. Must be 'balanced', None, or a dict")
     out = F.lit(1.0)
     for c, w in weights.items():
         out = F.when(F.col(label) == c, F.lit(float(w))).otherwise(out)
