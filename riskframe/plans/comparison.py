@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators import clean, encode, models, selection, split
+from riskframe.operators import cells, clean, encode, models, selection, split
 from riskframe.operators import metrics as M
 from riskframe.operators.lineage import cut
 from riskframe.sources import tables
@@ -77,27 +78,34 @@ def train_and_compare(
     marked = selection.spread(split.stratified(data, key, label, seed=seed), key)
     train, test = marked.where("split = 'train'").drop("split"), marked.where("split = 'test'").drop("split")
     folded = selection.fold_table(train, key, features, label, n_folds, seed)
-    scored, cv_parts, fitted = [], [], {}
-    for c in candidates:
+    counted = cells.count(folded, features, label, n_folds) if any(c.kind in cells.KINDS for c in candidates) else None
+
+    def judge(c: Candidate) -> tuple[PipelineModel, DataFrame, DataFrame]:
+        """The fitted model, its judgement of the test rows, its cross-validation."""
         params = dict(c.params)
         if c.grid:
-            found = selection.tune(train, key, c.kind, features, label, c.grid, n_folds, c.search, c.n_iter, seed=seed, folded=folded)
+            found = selection.tune(
+                train, key, c.kind, features, label, c.grid, n_folds, c.search, c.n_iter, seed=seed, folded=folded, counted=counted
+            )
             model, params = found.model, {**params, **found.best_params}
         else:
             model = models.train(train, c.kind, features, label, seed=seed, **params)
-        fitted[c.name] = model
-        scored.append(
-            models.predict(model, test).select(
-                F.lit(c.name).alias("model_name"),
-                F.lit(c.model_type).alias("model_type"),
-                F.lit(c.interpretability).alias("interpretability_score"),
-                label,
-                "prediction",
-                "score",
-            )
+        scored = models.predict(model, test).select(
+            F.lit(c.name).alias("model_name"),
+            F.lit(c.model_type).alias("model_type"),
+            F.lit(c.interpretability).alias("interpretability_score"),
+            label,
+            "prediction",
+            "score",
         )
-        cv = selection.cross_validate(train, key, c.kind, features, label, n_folds, seed=seed, folded=folded, **params)
-        cv_parts.append(cv.summary.select(F.lit(c.name).alias("model_name"), "*"))
+        cv = selection.cross_validate(train, key, c.kind, features, label, n_folds, seed=seed, folded=folded, counted=counted, **params)
+        return model, scored, cv.summary.select(F.lit(c.name).alias("model_name"), "*")
+
+    # Fits are many short jobs that wait for each other, so the candidates are judged side by side.
+    with ThreadPool(max(1, len(candidates))) as pool:
+        judged = pool.map(judge, candidates, chunksize=1)
+    fitted = {c.name: model for c, (model, _, _) in zip(candidates, judged)}
+    scored, cv_parts = [s for _, s, _ in judged], [s for _, _, s in judged]
     ids = ["model_name", "model_type", "interpretability_score"]
     test_metrics = cut(M.evaluate(cut(reduce(DataFrame.unionByName, scored)), label, by=ids))
     cv_summary = cut(reduce(DataFrame.unionByName, cv_parts))

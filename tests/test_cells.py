@@ -146,3 +146,20 @@ def test_skewed_and_constant_features_keep_their_rare_values(spark):
     assert counted.bins.max(axis=0).tolist() == [1, 0, cells.MAX_BINS - 1]
     sizes = np.bincount(counted.bins[:, 2], weights=counted.rows.sum(axis=0))
     assert sizes.sum() == 3000 and sizes.max() < 2 * 3000 / cells.MAX_BINS
+
+
+def test_a_comparison_counts_its_folds_once(tx, monkeypatch):
+    from riskframe.plans import comparison
+
+    seen, counts = [], []
+    count, score_fits = cells.count, cells.score_fits
+    monkeypatch.setattr(cells, "count", lambda *a: (counts.append(a), count(*a))[1])
+    monkeypatch.setattr(cells, "score_fits", lambda data, counted, fits, *a, **k: (seen.extend(fits), score_fits(data, counted, fits, *a, **k))[1])
+    candidates = (
+        comparison.Candidate("RF", "random_forest", "random_forest", 0.6, {}, {"n_estimators": [2], "max_depth": [2, 3]}),
+        comparison.Candidate("GB", "gradient_boosting", "gradient_boosting", 0.5, {}, {"n_estimators": [2, 3], "max_depth": [2]}),
+    )
+    out = comparison.train_and_compare(tx, ["event_id"], candidates=candidates, n_folds=2)
+    assert {r["model_name"] for r in out.board.collect()} == {"RF", "GB"} == set(out.models)
+    # two candidates in two folds, then the best in two folds, for each kind
+    assert len(counts) == 1 and sorted(f.kind for f in seen) == ["gradient_boosting"] * 6 + ["random_forest"] * 6
